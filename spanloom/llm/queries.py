@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lines, mixing, quality, simhash
+from . import chat, decontaminate, html_text, lines, mixing, quality, simhash, urls, warc
 from .common import table
 
 
+def op1_html_extraction(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op2_url_filters(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge(pages, urls.site_list(pages))
+
+
 def op4_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_chat_formatting(spark, sf_dir):
+    nodes = chat.reply_chains(chat.with_trial(table(spark, sf_dir, "conversations")))
+    return chat.read_back(chat.formatted(nodes))
+
+
 def op6_line_dedup(spark, sf_dir):
     return lines.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_mixing(spark, sf_dir):
     return mixing.calibrate(table(spark, sf_dir, "documents"))
 
@@ -26,5 +44,18 @@ def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_decontaminate, op6_line_dedup, op8_mixing, op9_quality, op10_simhash)}
-ORACLE: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_html_extraction,
+        op2_url_filters,
+        op4_decontaminate,
+        op5_chat_formatting,
+        op6_line_dedup,
+        op7_warc,
+        op8_mixing,
+        op9_quality,
+        op10_simhash,
+    )
+}
+ORACLE: dict[str, str] = {"op2_url_filters": urls.ORACLE, "op5_chat_formatting": chat.ORACLE}
