@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, html_text, lines, mixing, quality, simhash, urls, warc
+from . import chat, decontaminate, html_text, lines, mixing, quality, repeats, simhash, urls, warc
 from .common import table
 
 
@@ -15,6 +15,10 @@ def op2_url_filters(spark, sf_dir):
     return urls.judge(pages, urls.site_list(pages))
 
 
+def op3_substring_dedup(spark, sf_dir):
+    return repeats.removals(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     for f in (
         op1_html_extraction,
         op2_url_filters,
+        op3_substring_dedup,
         op4_decontaminate,
         op5_chat_formatting,
         op6_line_dedup,
