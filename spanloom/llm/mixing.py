@@ -169,7 +169,6 @@ def calibrate(docs: DataFrame, targets: dict[str, dict[str, float]] | None = Non
 
 def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, seed: int = SEED) -> DataFrame:
     """The kept documents with all their columns. Ids decide, so no text is shuffled."""
-    found = rates(_prepared(docs), targets).select(*(F.col(a).alias(f"_cell_{a}") for a in AXES), F.col("probability").alias("_cell_rate"))
-    own = docs.withColumns({"_own_source": _blank("source"), "_own_lang": _blank("lang"), "_own_topic": topic(F.col("text"))})
-    on = [F.col(f"_own_{a}") == F.col(f"_cell_{a}") for a in AXES]
-    return own.join(found, on).where(_draw(F.col("doc_id").cast("long"), seed) < F.col("_cell_rate")).select(*docs.columns)
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), _blank("source").alias("source"), _blank("lang").alias("lang"), topic(F.col("text")).alias("topic"))
+    kept = rows.join(rates(_prepared(docs), targets), AXES).where(_draw(F.col("row.doc_id").cast("long"), seed) < F.col("probability"))
+    return kept.select("row.*")

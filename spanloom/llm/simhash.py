@@ -22,7 +22,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bound_batches, cut, text_bytes
@@ -193,10 +193,10 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, width: int = SHIN
 
 
 def deduplicate(docs: DataFrame, distance: int = DISTANCE, width: int = SHINGLE) -> DataFrame:
-    """The document with the smallest id of each group, once, with all its columns."""
-    from pyspark.sql import Window
-
-    firsts = near_duplicates(docs, distance, width).where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(firsts, docs["doc_id"] == F.col("_first"), "left_semi")
-    once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    return kept.withColumn("_nth", F.row_number().over(once)).where("_nth = 1").select(*docs.columns)
+    """The document with the smallest id of each group, once, with all its columns. Documents without an id all stay."""
+    firsts = near_duplicates(docs, distance, width).where("doc_id = component_id").select(F.col("doc_id").alias("first")).distinct()
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    kept = rows.join(firsts, F.col("row.doc_id").cast("long") == F.col("first"), "left_semi")
+    once = Window.partitionBy(F.col("row.doc_id").cast("long")).orderBy(F.xxhash64("row.text"), "row.text")
+    one = kept.withColumn("nth", F.row_number().over(once)).where("nth = 1").select("row")
+    return one.unionByName(rows.where("row.doc_id IS NULL")).select("row.*")
