@@ -99,8 +99,8 @@ def marker_notes(paragraphs: DataFrame, group: str, order: str, text: str = "tex
     from .spans import find_all, kth_pairs
 
     notes = paragraphs.where(F.col(text).rlike(f"^{_NOTE}")).select(group, order, F.regexp_replace(text, f"^{_NOTE}", "").alias("note"))
-    mains = paragraphs.where(~F.col(text).rlike(f"^{_NOTE}")).select(group, order, F.posexplode(find_all(F.col(text), _MARK)).alias("n", "m"))
-    marks = mains.select(group, F.col(order).alias("para"), "n", F.col("m.at").alias("raw_at"), F.col("m.length").alias("size"))
-    w = Window.partitionBy(group, "para").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    mains = paragraphs.where(~F.col(text).rlike(f"^{_NOTE}")).select(group, order, F.posexplode(find_all(F.col(text), _MARK)).alias("mark_no", "m"))
+    marks = mains.select(group, F.col(order).alias("para"), "mark_no", F.col("m.at").alias("raw_at"), F.col("m.length").alias("size"))
+    w = Window.partitionBy(group, "para").orderBy("mark_no").rowsBetween(Window.unboundedPreceding, -1)
     marks = marks.withColumn("at", (F.col("raw_at") - F.coalesce(F.sum("size").over(w), F.lit(0))).cast("int"))
-    return kth_pairs(marks, notes.withColumnRenamed(order, "note_para"), [group], ["para", "n"], ["note_para"]).select(group, F.col("para").alias(order), "at", "note")
+    return kth_pairs(marks, notes.withColumnRenamed(order, "note_para"), [group], ["para", "mark_no"], ["note_para"]).select(group, F.col("para").alias(order), "at", "note")
