@@ -118,6 +118,28 @@ def normalize_title(raw: Column) -> Column:
     return F.when(t.rlike(rx), F.concat(F.regexp_extract(t, rx, 1), F.lit("·"), F.regexp_extract(t, rx, 2))).otherwise(t)
 
 
+#: Words that a page title of each work holds.
+TITLE_WORDS = {
+    "sanguozhi": ["魏書", "蜀書", "吳書", "呉書", "吴書"],
+    "houhanshu": ["帝紀", "本紀", "皇后紀", "列傳", "列传", "志第", "紀第", "傳第", "传第"],
+    "zztj": ["漢紀", "魏紀", "晉紀", "後漢紀"],
+}
+
+
+def normalize_title_by_parts(raw: Column) -> Column:
+    """A title of the other works: volume prefix, category with its number, and ordinal suffix dropped."""
+    ordinal, part, gap = "[零一二三四五六七八九十百千０-９0-9]+", "[上中下]?", "[\\s\\x{3000}]"
+    out = F.trim(F.regexp_replace(raw, "[《》]", ""))
+    for rx in (f"^卷{ordinal}{part}[·•・‧\\s\\x{{3000}}]+", f"^(?:帝紀|本紀|皇后紀)第{ordinal}{part}{gap}+", f"{gap}*第{ordinal}{part}{gap}*$"):
+        out = F.regexp_replace(out, rx, "")
+    return F.trim(out)
+
+
+def is_canonical(text: Column, simplified: str, traditional: str) -> Column:
+    """Whether a text has no simplified character, by a map in which each has one traditional form."""
+    return F.translate(text, simplified, traditional) == text
+
+
 def first_title_line(markup: Column, words: list[str], must_have: str = "") -> Column:
     """The first line after a `<br>` that names one of the words."""
     lines = F.transform(F.regexp_extract_all(markup, F.lit("(?s)<br\\s*/?>(.*?)(?=<br\\s*/?>|</td)"), 1), lambda x: F.trim(unescape_basic(strip_tags(x))))

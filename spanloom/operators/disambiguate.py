@@ -10,6 +10,17 @@ from .merge import append
 from .validate import decision_error
 
 
+#: Words in a person's description that fit an ambiguous title.
+ROLE_WORDS = {
+    "太子": ["太子", "嗣子", "皇太子"],
+    "太后": ["太后", "皇后", "夫人", "皇太后"],
+    "皇后": ["皇后", "夫人", "貴人", "美人"],
+    "陛下": ["皇帝", "帝", "皇", "天子", "公"],
+    "主上": ["皇帝", "帝", "皇", "主", "公"],
+    "王后": ["皇后", "夫人", "王后"],
+}
+
+
 def requests(titles: DataFrame, segments: DataFrame, roster: DataFrame) -> DataFrame:
     """(doc, request): a JSON request for each chapter that has unresolved titles."""
     people = roster.select("id", "primary_name", F.coalesce("courtesy_name", F.lit("")).alias("courtesy_name"), "aliases", "brief")

@@ -12,6 +12,10 @@ WINDOW = 8
 TITLES = ["太子", "太后", "皇后", "陛下", "主上", "王后"]
 
 
+#: What looks like a name before a courtesy name but is none.
+NOT_NAMES = "列女 良吏 酷吏 宦者 獨行 方術 逸民 文苑 儒林 黨錮 西羌 南蠻 東夷 西域 鮮卑 烏丸 其後 其子 之子 之孫 其孫 之父 楚王彪 燕王宇 陳羣".split()
+
+
 def patterns(roster: DataFrame, book: str) -> DataFrame:
     """(surface, person_id, via): what names a person in a book. Where several share a surface, the first in the roster's order.
 
@@ -82,7 +86,7 @@ def unresolved_titles(segments: DataFrame, spans: DataFrame, titles: list[str] =
     return kept.withColumn("title_no", order.cast("int"))
 
 
-def introductions(segments: DataFrame, known: DataFrame, least: int = 2, blocked: list[str] = ()) -> DataFrame:
+def introductions(segments: DataFrame, known: DataFrame, least: int = 2, blocked: list[str] = NOT_NAMES) -> DataFrame:
     """People who are introduced as `name字courtesy` between marks and are not known yet.
 
     Per (name, courtesy): introductions, occurrences of the name in the chapters that introduce it, and these chapters in order.
@@ -97,3 +101,11 @@ def introductions(segments: DataFrame, known: DataFrame, least: int = 2, blocked
     seen = per.join(chapters.select("doc", "text"), "doc").groupBy("doc", "name", "courtesy", "n_introduced").agg(F.sum((F.length("text") - F.length(F.replace("text", F.col("name")))) / F.length("name")).cast("long").alias("n_in_doc"))
     out = seen.groupBy("name", "courtesy").agg(F.sum("n_introduced").alias("n_introduced"), F.sum("n_in_doc").alias("n_occurrences"), F.array_sort(F.collect_list("doc")).alias("docs"))
     return out.where(F.col("n_occurrences") >= least)
+
+
+def outside(spans: DataFrame, excluded: DataFrame) -> DataFrame:
+    """Spans (doc, seg_idx, at, length) that overlap no excluded one, such as names inside dates."""
+    from .spans import overlap_anti
+
+    ends = lambda df: df.withColumn("end", F.col("at") + F.col("length"))
+    return overlap_anti(ends(spans), ends(excluded), ["doc", "seg_idx"]).drop("end")

@@ -103,3 +103,42 @@ def linked(text: Column, spans: Column) -> Column:
         return F.struct(F.concat(s["out"], before, F.lit("["), F.substring(text, p["at"] + 1, p["length"]), F.lit("]("), p["id"], F.lit(")")).alias("out"), (p["at"] + p["length"]).cast("int").alias("at"))
 
     return F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+
+
+def site_annotation() -> Column:
+    """An annotation as JSON with the fields of its type only, defaults filled in and empty fields left out."""
+    c, temporal, person = F.col, F.col("type") == "temporal", F.col("type") == "person"
+    of = lambda cond, value: F.when(cond, value)
+    fields = {
+        "id": c("id"), "type": c("type"), "at": c("at"), "length": F.coalesce("length", F.lit(0)), "text": F.coalesce("text", F.lit("")),
+        "kind": of(temporal, F.coalesce("kind", F.lit("absolute"))), "resolution": of(temporal, F.coalesce("resolution", F.lit("absolute"))),
+        **{k: of(temporal, c(k)) for k in ("year_ad", "era", "era_year", "month_chinese", "month_ordinal", "confidence")},
+        "person_id": of(person, c("person_id")), "via": of(person, F.coalesce("via", F.lit("primary"))),
+        "reasoning": of(temporal | person, F.nullif("reasoning", F.lit(""))),
+    }
+    return F.to_json(F.struct(*(v.alias(k) for k, v in fields.items())), {"ignoreNullFields": "true"})
+
+
+def rendered(text: Column, events: Column) -> Column:
+    """A segment's text with marks at its annotations.
+
+    events: structs of at, rank and mark; marks at one place stand in order of rank (opening dates, opening people, notes,
+    closing people, closing dates), and the text around them is kept as it is.
+    """
+    ordered = F.array_sort(events, lambda a, b: F.when(a["at"] != b["at"], a["at"] - b["at"]).otherwise(a["rank"] - b["rank"]).cast("int"))
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    step = lambda s, e: F.struct(F.concat(s["out"], F.substring(text, s["at"] + 1, e["at"] - s["at"]), e["mark"]).alias("out"), e["at"].cast("int").alias("at"))
+    return F.aggregate(ordered, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+
+
+def mark_events(dates: DataFrame, people: DataFrame, notes: DataFrame) -> DataFrame:
+    """(seg_id, events) for rendered(); people that overlap a date of their segment are left out."""
+    from .spans import overlap_anti
+
+    ends = lambda df: df.withColumn("end", F.col("at") + F.col("length"))
+    dates, people = ends(dates), overlap_anti(ends(people), ends(dates), "seg_id")
+    event = lambda df, at, rank, mark: df.select("seg_id", F.struct(F.col(at).cast("int").alias("at"), F.lit(rank).alias("rank"), mark.alias("mark")).alias("event"))
+    all_ = event(dates, "at", 0, F.lit("{")).unionByName(event(people, "at", 1, F.lit("["))).unionByName(event(notes, "at", 3, F.lit("*")))
+    # a span of no length closes where it opens, behind its own opening mark
+    all_ = all_.unionByName(event(people, "end", 4, F.concat(F.lit("]("), "person_id", F.lit(")")))).unionByName(event(dates, "end", 5, F.concat(F.lit("}("), F.col("year_ad").cast("string"), F.lit(")"))))
+    return all_.groupBy("seg_id").agg(F.collect_list("event").alias("events"))

@@ -65,3 +65,8 @@ def test_natural_keys(spark):
 def test_urls_are_encoded_once(spark):
     once = one(spark, "https://a/三國%20x?q=志", text.url_path_encoded)
     assert once == "https://a/%E4%B8%89%E5%9C%8B%20x?q=%E5%BF%97" and one(spark, once, text.url_path_encoded) == once
+
+
+@pytest.mark.parametrize("raw, want", [("卷八·帝紀第八　孝靈皇帝", "孝靈皇帝"), ("卷六十上 馬融列傳第五十上", "馬融列傳"), ("《卷九·帝紀第九 孝獻皇帝》", "孝獻皇帝"), ("荀彧列傳", "荀彧列傳")])
+def test_titles_by_parts(spark, raw, want):
+    assert one(spark, raw, text.normalize_title_by_parts) == want

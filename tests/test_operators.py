@@ -183,3 +183,18 @@ def test_views(spark):
     assert [r["name"] for r in publish.name_index(roster(spark)).collect()] == ["劉玄德", "曹操", "劉備"]
     linked = segs.limit(1).select(publish.linked(F.col("text"), F.array(F.struct(F.lit(0).alias("at"), F.lit(2).alias("length"), F.lit("caocao").alias("id")))).alias("t")).first().t
     assert linked == "[曹操](caocao)殺董卓。建安五年。"
+
+
+def test_rendering(spark):
+    text = spark.createDataFrame([("s", "建安五年曹操至")], "seg_id string, text string")
+    date = spark.createDataFrame([("s", 0, 4, 200)], "seg_id string, at int, length int, year_ad int")
+    people = spark.createDataFrame([("s", 4, 2, "caocao"), ("s", 3, 2, "other")], "seg_id string, at int, length int, person_id string")
+    notes = spark.createDataFrame([("s", 6)], "seg_id string, at int")
+    got = text.join(publish.mark_events(date, people, notes), "seg_id").select(publish.rendered(F.col("text"), F.col("events")).alias("t")).first().t
+    assert got in ("{建安五年}(200)[曹操*](caocao)至", "{建安五年[}(200)曹操*](caocao)至")
+
+
+def test_introductions(spark):
+    segs = segments(spark, ["諸葛瞻字思遠，少敏。諸葛瞻嗣。", "曹操字孟德。列女字某某。"])
+    known = spark.createDataFrame([("曹操",)], "name string")
+    assert [(r["name"], r.courtesy, r.n_occurrences, r.docs) for r in persons.introductions(segs, known).collect()] == [("諸葛瞻", "思遠", 2, ["wei.1"])]
