@@ -2,8 +2,8 @@
 
 Rule statistics of every whole text are computed in one pass without a shuffle. The forest is grown on
 a bounded sample of labelled documents (`MAX_LABELLED`); its anomaly threshold is calibrated on the
-same rows so that no more than `MAX_GOOD_REJECTED` of the good ones are rejected. The forest has a
-fixed size, so it is sent to the executors, which score each document beside its statistics.
+same rows so that no more than `MAX_GOOD_REJECTED` of the good ones are rejected. It is grown on the good rows, with splits over the range of
+all labelled rows. The forest has a fixed size, so it is sent to the executors, which score each document beside its statistics.
 
 Defined cases: a null or empty text has no words, fails the base rule and is rejected. Repeated
 documents give repeated rows. Without labelled rows of good quality the forest rejects nothing.
@@ -76,10 +76,10 @@ def base_failed(stats: np.ndarray) -> np.ndarray:
 
 
 def features(stats: np.ndarray) -> np.ndarray:
-    """Ratios of the statistics, which do not depend on the text's length."""
+    """Ratios of the statistics, which do not depend on the text's length; those without a bound are on a log scale."""
     s = stats.astype(float)
     n, lines = np.maximum(s[:, 0], 1), np.maximum(s[:, 5], 1)
-    return np.column_stack([s[:, 1] / n, s[:, 2] / n, s[:, 3] / lines, s[:, 4] / n])
+    return np.column_stack([np.log(np.maximum(s[:, 1] / n, 0.1)), np.log1p(10 * s[:, 2] / n), s[:, 3] / lines, s[:, 4] / n])
 
 
 def _expected_depth(n: int) -> float:
@@ -88,24 +88,29 @@ def _expected_depth(n: int) -> float:
 
 
 class Forest:
-    """Random split trees as flat arrays; scores are 2 ** (-mean path length / expected length)."""
+    """Random split trees as flat arrays; scores are 2 ** (-mean path length / expected length).
 
-    def __init__(self, x: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = SEED):
+    Splits fall anywhere in the box that `x` and `seen` span, so that a place where no row of x lies is cut off soon. x
+    has the rows that count as normal, and what lies among them is isolated late.
+    """
+
+    def __init__(self, x: np.ndarray, seen: np.ndarray | None = None, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = SEED):
         rng = np.random.default_rng(seed)
+        both = x if seen is None or not len(seen) else np.concatenate((x, seen))
+        box = both.min(axis=0), both.max(axis=0)
         self.size = min(subsample, len(x))
         self.depth = int(np.ceil(np.log2(max(2, self.size))))
-        self.trees = [self._grow(x[rng.choice(len(x), self.size, replace=False)], rng) for _ in range(trees)]
+        self.trees = [self._grow(x[rng.choice(len(x), self.size, replace=False)], *box, rng) for _ in range(trees)]
 
-    def _grow(self, x: np.ndarray, rng) -> tuple[np.ndarray, ...]:
+    def _grow(self, x: np.ndarray, low: np.ndarray, high: np.ndarray, rng) -> tuple[np.ndarray, ...]:
         feature, split, left, length = [], [], [], []
-        level = [(x, 0)]
+        level = [(x, low, high, 0)]
         nodes = 1
         while level:
             after = []
-            for rows, depth in level:
-                low, high = rows.min(axis=0), rows.max(axis=0)
+            for rows, low, high, depth in level:
                 wide = np.flatnonzero(high > low)
-                if depth >= self.depth or not len(wide):
+                if depth >= self.depth or len(rows) < 2 or not len(wide):
                     feature.append(0)
                     split.append(np.inf)
                     left.append(len(feature) - 1)  # a leaf leads to itself
@@ -118,9 +123,10 @@ class Forest:
                     left.append(nodes)
                     length.append(0.0)
                     nodes += 2
-                    below = rows[:, f] <= at
-                    after += [(rows[below], depth + 1), (rows[~below], depth + 1)]
-            level = [a for a in after]
+                    below, middle = rows[:, f] <= at, np.where(np.arange(len(low)) == f, at, high)
+                    above = np.where(np.arange(len(low)) == f, at, low)
+                    after += [(rows[below], low, middle, depth + 1), (rows[~below], above, high, depth + 1)]
+            level = after
         return np.array(feature), np.array(split), np.array(left), np.array(length)
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -163,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED, good_rejec
     if not (passed & (quality == 1)).any():
         return None
     x = features(stats)
-    forest = Forest(x[passed])
+    forest = Forest(x[passed & (quality == 1)], x[passed])
     good = forest.score(x[passed & (quality == 1)])
     return forest, float(np.quantile(good, 1 - good_rejected, method="higher"))
 
