@@ -39,7 +39,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared folder and read it back, which ends its lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written = path
     return out
