@@ -63,4 +63,31 @@ QUERIES = {
         op10_simhash,
     )
 }
-ORACLE: dict[str, str] = {"op2_url_filters": urls.ORACLE, "op5_chat_formatting": chat.ORACLE}
+_WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+DECONTAMINATE_SQL = f"""
+WITH b AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+s AS (SELECT item_id, ws, least(10, len(ws)) AS n FROM b WHERE len(ws) > 0),
+w AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS gram FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM s)),
+d AS (SELECT doc_id, coalesce({_WORDS}, []) AS ws FROM documents),
+p AS (SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS gram FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM w))),
+h AS (SELECT doc_id, i, n, item_id FROM p JOIN w USING (n, gram)),
+c AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+f AS (SELECT html, max(page_id) AS first_id FROM p WHERE n >= 1000 GROUP BY html)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f ON f.html = p.html AND n >= 1000
+"""
+ORACLE: dict[str, str] = {
+    "op2_url_filters": urls.ORACLE,
+    "op4_decontaminate": DECONTAMINATE_SQL,
+    "op5_chat_formatting": chat.ORACLE,
+    "op7_warc": WARC_SQL,
+}
