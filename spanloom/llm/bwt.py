@@ -77,7 +77,7 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.n
     return shard, row - base[shard], block
 
 
-def repeated_in_smaller(strings: list[bytes], owners: np.ndarray, length: int, shard_symbols: int = 1 << 20) -> list[np.ndarray]:
+def repeated_in_smaller(strings: list[bytes], owners: np.ndarray, length: int, shard_symbols: int = 1 << 18) -> list[np.ndarray]:
     """For each string, at each place, whether the `length` bytes from there occur in a string of a smaller owner."""
     sizes = np.array([len(s) for s in strings], np.int64)
     marks = [np.zeros(max(0, n - length + 1), bool) for n in sizes]

@@ -25,23 +25,26 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from .bwt import repeated_in_smaller
 from .common import bound_batches, text_bytes
 
-LENGTH, K = 50, 30
+LENGTH, K = 50, 24
 SPAN = LENGTH - K + 1  # minimizer candidates in a window
-PIECE = 1 << 22  # bytes that are hashed at once; places in a piece fit into the low bits of the order
-MERGE_SYMBOLS = 1 << 22  # contents of about this many bytes are merged at once
+PIECE = 1 << 20  # bytes that are hashed at once; places in a piece fit into the low bits of the order
+MERGE_SYMBOLS = 1 << 20  # contents of about this many bytes are merged at once
 _PLACE = np.uint64((1 << 24) - 1)
 _TOLD = 0xFFFF
 #: A multiplier to the powers 1, 2, 4 and 8, modulo 2 ** 64.
 _B, _B2, _B4, _B8 = (np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in (1, 2, 4, 8))
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-ASKED = "part int, doc_id long, tag long, ids binary, tags binary, high binary, low binary, owner binary"
+ASKED = "part int, doc_id long, tag long, ids binary, tags binary, keys binary, owner binary"
 SENT = "part int, doc_id long, tag long, ids binary, tags binary, keys binary, owner binary, at binary, size binary, text binary"
 MARKS = "doc_id long, tag long, marks binary"
+#: Declared without nulls, so that no join puts a filter of its own below the exchange and all of them share it.
+PACKED = StructType([StructField("doc_id", LongType(), False), StructField("tag", LongType(), False), StructField("text", BinaryType(), False)])
 
 
 def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -71,14 +74,14 @@ def _runs_in(texts: list[bytes]):
     n = len(data) - LENGTH + 1
     if n <= 0:
         return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64))
-    # a polynomial hash of K = 16 + 8 + 4 + 2 bytes by doubling
+    # a polynomial hash of K = 16 + 8 bytes by doubling
     h1 = data.astype(np.uint64) + np.uint64(1)
     h2 = h1[:-1] * _B + h1[1:]
     h4 = h2[:-2] * _B2 + h2[2:]
     h8 = h4[:-4] * _B4 + h4[4:]
     h16 = h8[:-8] * _B8 + h8[8:]
     m = len(data) - K + 1
-    h = ((h16[:m] * _B8 + h8[16 : 16 + m]) * _B4 + h4[24 : 24 + m]) * _B2 + h2[28 : 28 + m]
+    h = h16[:m] * _B8 + h8[16 : 16 + m]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
@@ -101,6 +104,19 @@ def _runs_in(texts: list[bytes]):
     return h[place[first]], own, first - (ends[own] - sizes[own]), count
 
 
+def _squeeze(data: bytes) -> bytes:
+    """Texts are compressed while they are shuffled."""
+    from zstandard import ZstdCompressor
+
+    return ZstdCompressor(3).compress(data)
+
+
+def _expand(data: bytes) -> bytes:
+    from zstandard import ZstdDecompressor
+
+    return ZstdDecompressor().decompress(data)
+
+
 def _short(key: np.ndarray) -> np.ndarray:
     return key >> np.uint64(16)
 
@@ -135,7 +151,7 @@ def _ask(parts: int):
         salt = 0
         for batch in batches:
             ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            texts = [t or b"" for t in text_bytes(batch.column(2))]
+            texts = [_expand(t) for t in batch.column(2).to_pylist()]
             for a, b in _slices(len(texts), _TOLD):
                 key, own, _, _ = runs(texts[a:b])
                 if not len(key):
@@ -151,36 +167,52 @@ def _ask(parts: int):
                 shared = differs[group]
                 for t, keys in _by_text(own[shared].astype(np.int64), key[shared]):
                     salt += 1
-                    rows.append((salt * 7919 % parts, int(ids[a + t]), int(tags[a + t]), None, None, (keys >> np.uint64(16)).astype(np.uint32).tobytes(), (keys & np.uint64(0xFFFF)).astype(np.uint16).tobytes(), None))
+                    rows.append((salt * 7919 % parts, int(ids[a + t]), int(tags[a + t]), None, None, keys.tobytes(), None))
                 told = np.where(differs, _TOLD, own[first]).astype(np.uint16)
                 # rows of one doc_id with several texts must all be told
                 extra = ~begins & ~shared
                 key, own = np.concatenate((key[first], key[extra])), np.concatenate((told, own[extra]))
+                order = np.argsort(key, kind="stable")
+                key, own = key[order], own[order]
                 for p, keys, owners in _by_text((key % np.uint64(parts)).astype(np.int64), key, own):
                     used, index = np.unique(owners, return_inverse=True)
                     real = used[used != _TOLD].astype(np.int64)
                     index = np.where(owners == _TOLD, _TOLD, index).astype(np.uint16)
-                    rows.append((p, None, None, ids[a + real].tobytes(), tags[a + real].tobytes(), (keys >> np.uint64(16)).astype(np.uint32).tobytes(), (keys & np.uint64(0xFFFF)).astype(np.uint16).tobytes(), index.tobytes()))
+                    rows.append((p, None, None, ids[a + real].tobytes(), tags[a + real].tobytes(), _packed(keys, parts), index.tobytes()))
                 yield _table(rows, ASKED)
 
     return run
 
 
-def _answer(batches):
+def _packed(keys: np.ndarray, parts: int) -> bytes:
+    """Keys of one part in order, as differences of their quotients: four bytes each where these are small."""
+    steps = np.diff(keys // np.uint64(parts), prepend=np.uint64(0))
+    return b"\4" + steps.astype(np.uint32).tobytes() if int(steps.max()) < 1 << 32 else b"\10" + steps.tobytes()
+
+
+def _unpacked(blob: bytes, part: int, parts: int) -> np.ndarray:
+    steps = np.frombuffer(blob, np.uint32 if blob[0] == 4 else np.uint64, offset=1)
+    return np.cumsum(steps, dtype=np.uint64) * np.uint64(parts) + np.uint64(part)
+
+
+def _answers(parts: int):
+    return lambda batches: _answer(batches, parts)
+
+
+def _answer(batches, parts: int):
     """The minimizers that several documents hold, for each document that asked."""
     ids, tags, keys, owners, n = [], [], [], [], 0
     for batch in batches:
         told = []
         for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            key = (_of(r[5], np.uint32).astype(np.uint64) << np.uint64(16)) | _of(r[6], np.uint16)
-            if r[1] is not None or r[3] is None:
-                told.append((r[1], r[2], key.tobytes()))
+            if r[3] is None:
+                told.append((r[1], r[2], r[5]))
                 continue
             ids.append(_of(r[3], np.int64))
             tags.append(_of(r[4], np.int64))
-            owner = _of(r[7], np.uint16).astype(np.int64)
+            owner = _of(r[6], np.uint16).astype(np.int64)
             owners.append(np.where(owner == _TOLD, -1, owner + n))
-            keys.append(key)
+            keys.append(_unpacked(r[5], r[0], parts))
             n += len(ids[-1])
         if told:
             yield _table(told, MARKS)
@@ -204,7 +236,7 @@ def _send(parts: int):
         salt = 0
         for batch in batches:
             ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            texts = [t or b"" for t in text_bytes(batch.column(2))]
+            texts = [_expand(t) for t in batch.column(2).to_pylist()]
             wanted = [np.concatenate([_of(x, np.uint64) for x in blobs]) for blobs in batch.column(3).to_pylist()]
             for a, b in _slices(len(texts), _TOLD):
                 key, own, start, count = runs(texts[a:b])
@@ -226,7 +258,7 @@ def _send(parts: int):
                 sent = np.flatnonzero(~later)
                 for p, i in _by_text((_short(key[sent]) % np.uint64(parts)).astype(np.int64), sent):
                     used, index = np.unique(own[i], return_inverse=True)
-                    rows.append((p, None, None, ids[a + used].tobytes(), tags[a + used].tobytes(), key[i].tobytes(), index.astype(np.uint16).tobytes(), start[i].tobytes(), count[i].astype(np.uint32).tobytes(), b"".join(content[j] for j in i.tolist())))
+                    rows.append((p, None, None, ids[a + used].tobytes(), tags[a + used].tobytes(), key[i].tobytes(), index.astype(np.uint16).tobytes(), start[i].tobytes(), count[i].astype(np.uint32).tobytes(), _squeeze(b"".join(content[j] for j in i.tolist()))))
                 if rows:
                     yield _table(rows, SENT)
 
@@ -248,9 +280,9 @@ def _judge_buckets(batches):
             owners.append(_of(r[6], np.uint16).astype(np.int64) + n)
             starts.append(_of(r[7], np.int64))
             n += len(ids[-1])
-            at = 0
+            at, text = 0, _expand(r[9])
             for c in _of(r[8], np.uint32).tolist():
-                content.append(r[9][at : at + c + LENGTH - 1])
+                content.append(text[at : at + c + LENGTH - 1])
                 at += c + LENGTH - 1
         if known:
             yield _table(known, MARKS)
@@ -305,11 +337,20 @@ def removed(n: int, windows: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _pack(batches):
+    from zstandard import ZstdCompressor
+
+    squeeze = ZstdCompressor(3).compress
+    for batch in batches:
+        texts = pa.array([squeeze(t) for t in text_bytes(batch.column(2))], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=["doc_id", "tag", "text"])
+
+
 def _report(batches):
     for batch in batches:
         rows = []
-        for text, copy, marks in zip(text_bytes(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            text = text or b""
+        for text, copy, marks in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            text = _expand(text)
             if copy and len(text) >= LENGTH:
                 spans = [(0, len(text))]
             else:
@@ -328,19 +369,26 @@ def _report(batches):
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """One row per document: bytes, removed bytes, removed runs, and the SHA-256 of what is left."""
+    """One row per document: bytes, removed bytes, removed runs, and the SHA-256 of what is left.
+
+    Compressed texts are shuffled once, by document; all steps that need them read that one exchange.
+    """
     spark = docs.sparkSession
     bound_batches(spark)
-    parts = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    own = own.withColumn("tag", F.xxhash64("text"))
-    whole = own.where("doc_id IS NOT NULL").select("doc_id", "tag", F.sha2("text", 256).alias("sha"))
+    tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # given, so that small ones are not put together: a task holds its buckets
+    parts = 4 * tasks
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("tag", F.xxhash64("text"))
+    known = own.where("doc_id IS NOT NULL")
+    whole = known.select("doc_id", "tag", F.sha2("text", 256).alias("sha"))
     first = whole.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", "first")
     copies = whole.join(first, "sha").where("first < doc_id").select("doc_id", "tag", F.lit(True).alias("copy")).distinct()
-    by_id = own.join(copies, ["doc_id", "tag"], "left")
-    fresh = by_id.where("doc_id IS NOT NULL AND copy IS NULL").select("doc_id", "tag", "text")
+    pack = lambda df, kind: df.select("doc_id", "tag", "text").mapInArrow(_pack, kind)
+    by_id = pack(known, PACKED).join(copies, ["doc_id", "tag"], "left")
+    fresh = by_id.where("copy IS NULL").select("doc_id", "tag", "text")
     gather = lambda df, name: df.groupBy("doc_id", "tag").agg(F.collect_list("marks").alias(name))
-    shared = gather(fresh.mapInArrow(_ask(parts), ASKED).repartition("part").mapInArrow(_answer, MARKS), "keys")
+    shared = gather(fresh.mapInArrow(_ask(parts), ASKED).repartition(tasks, "part").mapInArrow(_answers(parts), MARKS), "keys")
     sent = fresh.join(shared, ["doc_id", "tag"]).select("doc_id", "tag", "text", "keys").mapInArrow(_send(parts), SENT)
-    marks = gather(sent.repartition("part").mapInArrow(_judge_buckets, MARKS), "marks")
-    return by_id.join(marks, ["doc_id", "tag"], "left").select("doc_id", "text", "copy", "marks").mapInArrow(_report, RESULT)
+    marks = gather(sent.repartition(tasks, "part").mapInArrow(_judge_buckets, MARKS), "marks")
+    judged = by_id.join(marks, ["doc_id", "tag"], "left").select("doc_id", "text", "copy", "marks")
+    nameless = pack(own.where("doc_id IS NULL"), "doc_id long, tag long, text binary").select("doc_id", "text", F.lit(None).cast("boolean").alias("copy"), F.lit(None).cast("array<binary>").alias("marks"))
+    return judged.unionByName(nameless).mapInArrow(_report, RESULT)
