@@ -29,7 +29,7 @@ def op5_chat_formatting(spark, sf_dir):
 
 
 def op6_line_dedup(spark, sf_dir):
-    return lines.judge(table(spark, sf_dir, "documents"), lines.GROWING)
+    return lines.judge(table(spark, sf_dir, "documents"), lines.GROWING, equal_chars=1)
 
 
 def op7_warc(spark, sf_dir):
