@@ -3,8 +3,10 @@
 Token counts are gathered per cell (source, language, topic) with partial aggregation, so a source
 that holds a third of all rows costs one row per task. The cell weights are then raked: scaled to each
 marginal's target in turn until all marginals agree. A document's probability is its cell's raked
-weight over the cell's tokens, scaled so that the largest is 1, and it is kept if the hash of its id
-falls below that probability. Up to MAX_LOCAL_CELLS cells are raked in memory; more stay in tables, where
+weight over the cell's tokens, scaled so that KEEP of all tokens are expected to stay (more, where more stay with the largest probability at 1).
+Cells that would need more than they have get probability 1 and the rest is raked again to the same marginals; a category that has
+too few tokens for its target gives all of them, and the others of its axis share what is missing. So a rare cell
+does not decide how much of the corpus stays. A document is kept if the hash of its id falls below its probability. Up to MAX_LOCAL_CELLS cells are raked in memory; more stay in tables, where
 each step of a raking pass is a join of cells with one marginal. Both give the same weights.
 
 Defined cases: null source, language or topic are categories of their own (`''` in the targets); null or
@@ -27,6 +29,9 @@ TOLERANCE, MAX_PASSES = 1e-6, 50
 #: A marginal's target shares are proportional to its token shares to this power.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 SEED = 11
+#: Least share of all tokens that is expected to stay.
+KEEP = 0.5
+_FAR = 1e12  # bound of a rate and of its inverse
 
 
 def n_tokens(text: Column) -> Column:
@@ -66,22 +71,50 @@ def axis_targets(cells: DataFrame, axis: str, given: dict[str, float] | None) ->
     return t.select("category", (F.col("t") / F.lit(total)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, passes: int = MAX_PASSES) -> DataFrame:
-    """cells(axes..., tokens) with `weight`: shares that meet the targets of every axis.
+def reachable(goals: DataFrame, cells: DataFrame, axis: str, wanted: float) -> DataFrame:
+    """(category, target) in tokens, `wanted` together: a category without enough gives all it has, and the others share the rest by their goals."""
+    own = cut(goals.join(cells.groupBy(F.col(axis).alias("category")).agg(F.sum("tokens").alias("has")), "category"), f"reach-{axis}")
+    scale, before = wanted, None
+    while scale != before:
+        full = F.col("has") <= F.col("target") * F.lit(scale)
+        given, left = own.agg(F.sum(F.when(full, F.col("has")).otherwise(0)).cast("double"), F.sum(F.when(full, 0.0).otherwise(F.col("target")))).first()
+        before, scale = scale, max(scale, (wanted - given) / left) if left else scale
+    return own.select("category", F.least(F.col("has").cast("double"), F.col("target") * F.lit(scale)).alias("target"))
+
+
+def reachable_here(goals: np.ndarray, has: np.ndarray, wanted: float) -> np.ndarray:
+    """reachable() in memory."""
+    scale, before = wanted, None
+    while scale != before:
+        full = has <= goals * scale
+        left = goals[~full].sum()
+        before, scale = scale, max(scale, (wanted - has[full].sum()) / left) if left else scale
+    return np.minimum(has, goals * scale)
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, passes: int = MAX_PASSES, bounded: bool = False) -> DataFrame:
+    """cells(axes..., tokens and, to go on from, rate) with `rate`, so that tokens * rate meet the targets of every axis.
 
     A pass scales by each axis once; the largest relative error decides when to stop. A pass adds joins to
-    the plan, so every pass is written to the shared folder and the one before it is deleted.
+    the plan, so every pass is written to the shared folder and the one before it is deleted. With `bounded`, rates above 1
+    count as 1, and a step is Newton's for the category's factor, or a lower bound of the factor where it is below 1.
     """
-    now = cut(cells.withColumn("weight", F.col("tokens").cast("double")), "rake")
+    now = cut(cells if "rate" in cells.columns else cells.withColumn("rate", F.lit(1.0)), "rake")
     for _ in range(passes):
         step = now.withColumn("error", F.lit(0.0))
         for axis, target in targets.items():
-            sums = step.groupBy(axis).agg(F.sum("weight").alias("has")).join(target.withColumnRenamed("category", axis), axis)
+            all_ = F.col("tokens") * F.col("rate")
+            has = F.col("tokens") * F.least(F.col("rate"), F.lit(1.0)) if bounded else all_
+            slack = F.when(F.col("rate") < 1, all_).otherwise(0.0) if bounded else all_
+            sums = step.groupBy(axis).agg(F.sum(has).alias("has"), F.sum(slack).alias("slack"), F.sum(all_).alias("all")).join(target.withColumnRenamed("category", axis), axis)
+            newton = F.when(F.col("slack") > 0, 1 + (F.col("target") - F.col("has")) / F.col("slack"))
+            factor = F.when(F.col("has") < F.col("target"), F.coalesce(newton, F.lit(1.0))).otherwise(F.greatest(newton, F.col("target") / F.col("all")))
+            sums = sums.withColumn("factor", F.when(F.col("has") > 0, factor).otherwise(1.0))
             step = (
                 step.join(sums, axis)
-                .withColumn("error", F.greatest("error", F.abs(F.col("has") / F.col("target") - 1)))
-                .withColumn("weight", F.when(F.col("has") > 0, F.col("weight") * F.col("target") / F.col("has")).otherwise(0.0))
-                .drop("has", "target")
+                .withColumn("error", F.greatest("error", F.when(F.col("has") > 0, F.abs(F.col("has") / F.col("target") - 1)).otherwise(0.0)))
+                .withColumn("rate", F.least(F.greatest(F.col("rate") * F.col("factor"), F.lit(1 / _FAR)), F.lit(_FAR)))
+                .drop("has", "slack", "all", "target", "factor")
             )
         after = cut(step, "rake")
         drop_cut(now)
@@ -103,19 +136,24 @@ def _draw(doc_id: Column, seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(doc_id, F.lit(seed)), 11) / F.lit(float(1 << 53))
 
 
-def rake_here(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], tolerance: float = TOLERANCE, passes: int = MAX_PASSES) -> np.ndarray:
-    """rake() in memory, for cells below the bound. codes: each axis' category numbers."""
-    weight = tokens.astype(float)
+def rake_here(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], tolerance: float = TOLERANCE, passes: int = MAX_PASSES, rate: np.ndarray | None = None, bounded: bool = False) -> np.ndarray:
+    """rake() in memory, for cells below the bound: the rates. codes: each axis' category numbers."""
+    rate = np.ones(len(tokens)) if rate is None else rate
     for _ in range(passes):
         worst = 0.0
         for code, target in zip(codes, targets, strict=True):
-            has = np.bincount(code, weight, len(target))
+            sums = lambda x, c=code, n=len(target): np.bincount(c, x, n)
+            all_ = sums(tokens * rate)
+            has, slack = (sums(tokens * np.minimum(rate, 1)), sums(np.where(rate < 1, tokens * rate, 0))) if bounded else (all_, all_)
             live = has > 0
             worst = max(worst, float(np.abs(has[live] / target[live] - 1).max(initial=0)))
-            weight = weight * np.where(live, target / np.where(live, has, 1), 0)[code]
+            safe = lambda x: np.where(x > 0, x, 1)
+            newton = np.where(slack > 0, 1 + (target - has) / safe(slack), np.where(has < target, 1, 0))
+            factor = np.where(has < target, newton, np.maximum(newton, target / safe(all_)))
+            rate = np.clip(rate * np.where(live, factor, 1)[code], 1 / _FAR, _FAR)
         if worst <= tolerance:
             break
-    return weight
+    return rate
 
 
 def _blank(c: str) -> Column:
@@ -135,17 +173,24 @@ def _draw(doc_id: Column, seed: int) -> Column:
 MAX_LOCAL_CELLS = 200_000
 
 
-def rates(rows: DataFrame, targets: dict[str, dict[str, float]] | None, local: int = MAX_LOCAL_CELLS) -> DataFrame:
-    """(axes..., probability) for each cell of rows(axes..., n_tokens)."""
+def rates(rows: DataFrame, targets: dict[str, dict[str, float]] | None, local: int = MAX_LOCAL_CELLS, keep: float = KEEP) -> DataFrame:
+    """(axes..., probability, kept_share) for each cell of rows(axes..., n_tokens). kept_share: of all tokens, expected."""
     spark, targets = rows.sparkSession, targets or {}
     cells = cut(rows.groupBy(*AXES).agg(F.sum("n_tokens").alias("tokens")), "cells")
     goals = {a: axis_targets(cells, a, targets.get(a)) for a in AXES}
     got = cells.limit(local + 1).toPandas()
     if len(got) > local:
-        done = rake(cells, {a: cut(g, f"target-{a}") for a, g in goals.items()})
-        done = done.withColumn("rate", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0))
-        top = done.agg(F.max("rate")).first()[0] or 1.0
-        return done.select(*AXES, (F.col("rate") / F.lit(top)).alias("probability"))
+        goals = {a: cut(g, f"target-{a}") for a, g in goals.items()}
+        done = rake(cells, goals)
+        full = F.col("tokens") > 0
+        top, total = done.agg(F.max(F.when(full, F.col("rate"))), F.sum("tokens").cast("double")).first()
+        scale = 1 / (top or 1.0)
+        if total and scale < keep * total:  # the rates' tokens are 1 together
+            wanted = {a: reachable(g, cells, a, keep * total) for a, g in goals.items()}
+            done, scale = rake(done.withColumn("rate", F.col("rate") * F.lit(keep * total)), wanted, bounded=True), 1.0
+        done = cut(done.select(*AXES, "tokens", F.when(full, F.least(F.col("rate") * F.lit(scale), F.lit(1.0))).otherwise(0.0).alias("probability")), "rates")
+        share = (done.agg(F.sum(F.col("tokens") * F.col("probability"))).first()[0] or 0.0) / (total or 1.0)
+        return done.select(*AXES, "probability", F.lit(share).alias("kept_share"))
     got = got.sort_values(AXES).reset_index(drop=True)
     codes, wanted = [], []
     for a in AXES:
@@ -154,17 +199,22 @@ def rates(rows: DataFrame, targets: dict[str, dict[str, float]] | None, local: i
         codes.append(got[a].map({n: k for k, n in enumerate(names)}).to_numpy(dtype=int))
         wanted.append(np.array([goal[n] for n in names], float))
     tokens = got["tokens"].to_numpy(dtype=float)
-    rate = np.divide(rake_here(tokens, codes, wanted), tokens, out=np.zeros(len(tokens)), where=tokens > 0)
-    got["probability"] = rate / (rate.max(initial=0) or 1.0)
-    out = spark.createDataFrame([tuple(r) for r in got[[*AXES, "probability"]].itertuples(index=False)], "source string, lang string, topic string, probability double")
+    rate, full, total = rake_here(tokens, codes, wanted), tokens > 0, tokens.sum()
+    scale = 1 / (rate[full].max(initial=0) or 1.0)
+    if scale < keep * total:  # the rates' tokens are 1 together
+        wanted = [reachable_here(g, np.bincount(c, tokens, len(g)), keep * total) for g, c in zip(wanted, codes, strict=True)]
+        rate, scale = rake_here(tokens, codes, wanted, rate=rate * keep * total, bounded=True), 1.0
+    got["probability"] = np.where(full, np.minimum(rate * scale, 1), 0)
+    got["kept_share"] = float((tokens * got["probability"]).sum() / (total or 1.0))
+    out = spark.createDataFrame([tuple(r) for r in got[[*AXES, "probability", "kept_share"]].itertuples(index=False)], "source string, lang string, topic string, probability double, kept_share double")
     return F.broadcast(out)
 
 
 def calibrate(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, seed: int = SEED) -> DataFrame:
-    """One row per document: cell, tokens, probability and whether it is kept."""
+    """One row per document: cell, tokens, probability, whether it is kept, and the share of all tokens that is expected to stay."""
     rows = _prepared(docs)
     kept = _draw(F.col("doc_id"), seed) < F.col("probability")
-    return rows.join(rates(rows, targets), AXES, "left").select("doc_id", *AXES, "n_tokens", "probability", kept.alias("kept"))
+    return rows.join(rates(rows, targets), AXES, "left").select("doc_id", *AXES, "n_tokens", "probability", kept.alias("kept"), "kept_share")
 
 
 def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, seed: int = SEED) -> DataFrame:
