@@ -4,7 +4,8 @@ A page is read into text blocks, each with the path of block tags from the root.
 punctuation and link text are added up and divided by the path's blocks; the two ratios are smoothed over neighbouring blocks in
 page order, fused, and weighed by what the path's names say (navigation, notices, adverts, comments, ...). Paths above a share of the
 text-weighted mean are content. The element that holds the content is the article, and its blocks are the text, so that a short
-paragraph or heading inside it is not lost; blocks under paths that the names or a large share of link text exclude are left out.
+paragraph or heading inside it is not lost. Tags such as nav, hidden elements and whole names (class, id or role is just the word) exclude what they hold;
+a word that is a part of a name only lowers the score of its path.
 
 Pages are independent, so nothing is shuffled. Defined cases: a null, empty or contentless page has an empty
 text; repeated pages give repeated rows; further columns are ignored. Unclosed and misnested tags are read as browsers do
@@ -36,6 +37,9 @@ NOT_CONTENT = frozenset(
     "ad ads adv advert adverts advertisement advertising alert aside author-bio banner billboard breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer form gdpr header hidden hero-ad login masthead menu menubar modal nav navbar navigation navigation-menu newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion recommended related replies reply respond rss search share sharing sidebar signup skip social sponsor sponsored subscribe tags teaser teasers toolbar topbar widget widgets complementary contentinfo dialog".split()
 )
 
+#: Whole names of more than one word.
+NOT_CONTENT |= {f"{a}{sep}{b}" for a, bs in (("cookie", "notice banner bar consent"), ("related", "posts articles"), ("share", "buttons bar"), ("social", "share links"), ("comment", "list form"), ("site", "header footer"), ("page", "header footer"), ("nav", "menu bar")) for b in bs.split() for sep in "-_"}
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
@@ -49,10 +53,11 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 SMOOTH = [exp(-k * k / 2) for k in range(-2, 3)]
 SHARE, LINKED = 0.3, 0.6
+LOWERED = 0.1  # of the score, where a part of a name is in NOT_CONTENT
 
 
 class _Node:
-    __slots__ = ("tag", "key", "out", "semantic")
+    __slots__ = ("tag", "key", "out", "semantic", "weak")
 
     def __init__(self, tag: str, rest: str, parent: _Node | None):
         names: list[str] = []
@@ -71,21 +76,24 @@ class _Node:
                 hidden |= name == "hidden" or value.lower() == "true"
         self.tag = tag
         self.key = f"{tag}.{'.'.join(names)}" if names else tag
-        words = {w.lower() for n in names for w in (n, *_PART.findall(n))}
         out = hidden or tag in SKIPPED or (tag == "header" and not (parent and parent.semantic))
+        weak = False
         if tag not in ("html", "body", "main"):
-            out |= bool(words & NOT_CONTENT)
+            out |= any(n.lower() in NOT_CONTENT for n in names)
+            weak = tag != "article" and any(w.lower() in NOT_CONTENT for n in names for w in _PART.findall(n))
+        self.weak = weak or bool(parent and parent.weak)
         self.semantic = (semantic and not out) or bool(parent and parent.semantic and tag == "header")
         self.out = out or bool(parent and parent.out)
 
 
 class Block:
-    __slots__ = ("nodes", "text", "links", "path", "out")
+    __slots__ = ("nodes", "text", "links", "path", "out", "weak")
 
     def __init__(self, nodes: list[_Node], text: str, links: int):
         self.nodes, self.text, self.links = tuple(nodes), text, links
         self.path = "/".join(n.key for n in nodes)
         self.out = bool(nodes) and nodes[-1].out
+        self.weak = bool(nodes) and nodes[-1].weak
 
 
 def blocks(page: str) -> list[Block]:
@@ -203,10 +211,13 @@ def path_scores(found: list[Block]) -> tuple[list[float], dict[str, list[float]]
             out.append(sum(w * v for w, v in near) / sum(w for w, _ in near) if near else 0.0)
         return out
 
+    fair = sum(len(b.text) for b in found if not b.out)
+    lowered = sum(len(b.text) for b in found if not b.out and b.weak)
+    low = LOWERED if 2 * lowered < fair else 1.0  # names that most of the text has say nothing
     fused = []
     for b, t, p in zip(found, smooth(text), smooth(marks), strict=True):
         length, links = paths[b.path][1], paths[b.path][3]
-        fused.append(0.0 if b.out else t * (1 + p) * (1 - min(1.0, links / length)))
+        fused.append(0.0 if b.out else t * (1 + p) * (1 - min(1.0, links / length)) * (low if b.weak else 1.0))
     return fused, paths
 
 

@@ -105,3 +105,10 @@ def test_whole_table(spark, sf):
     pages = table(spark, sf, "pages")
     want = brute_warc([(r.page_id, r.url, r.html) for r in pages.collect()])
     assert sorted(map(tuple, warc.round_trip(pages).collect()), key=str) == want
+
+
+@pytest.mark.parametrize("open_", ['<div class="content with-sidebar">', '<div id="page-header-offset">', '<article class="post tag-social comment-open">', '<div class="post"><div class="wideSidebarLayout">'])
+def test_parts_of_names_exclude_no_article(open_):
+    body = "<h2>Title</h2><p>The first paragraph, with some words. It goes on.</p><p>The second one, as long as the first. It ends.</p>"
+    page = f"<html><body>{NOISE}{open_}{body}</{open_[1:4] if 'div' in open_ else 'article'}>{'</div>' * (open_.count('<') - 1)}{REST}</body></html>"
+    assert html_text.main_text(page).split("\n\n") == ["Title", "The first paragraph, with some words. It goes on.", "The second one, as long as the first. It ends."]
