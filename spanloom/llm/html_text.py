@@ -5,7 +5,8 @@ punctuation and link text are added up and divided by the path's blocks; the two
 page order, fused, and weighed by what the path's names say (navigation, notices, adverts, comments, ...). Paths above a share of the
 text-weighted mean are content. The element that holds the content is the article, and its blocks are the text, so that a short
 paragraph or heading inside it is not lost. Tags such as nav, hidden elements and whole names (class, id or role is just the word) exclude what they hold;
-a word that is a part of a name only lowers the score of its path.
+a word that is a part of a name only lowers the score of its path. Where the content's holder is the whole body, paths of mostly link text
+(<a href>, until its block ends) are left out too, but no headings.
 
 Pages are independent, so nothing is shuffled. Defined cases: a null, empty or contentless page has an empty
 text; repeated pages give repeated rows; further columns are ignored. Unclosed and misnested tags are read as browsers do
@@ -26,6 +27,7 @@ from .common import bound_batches
 
 #: Fixed HTML names.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("audio button canvas datalist dialog form head iframe input math menu nav aside footer noframes noscript object optgroup option select svg template textarea title video".split())
 RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "xmp", "template")
@@ -48,6 +50,8 @@ _TOKEN = re.compile(
 )
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 _NAME = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|itemprop|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_HREF = re.compile(r"(?:^|[\s\"'/])href\s*=", re.I)
+_NEXT_A = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
@@ -102,10 +106,13 @@ def blocks(page: str) -> list[Block]:
     stack: list[_Node] = []
     parts: list[str] = []
     linked: list[str] = []
-    in_link = 0
+    in_link, link_depth = 0, 0  # 1: in a link; 2: in one without an end, which its block ends. The stack's size where it began
     at, n = 0, len(page)
 
     def flush() -> None:
+        nonlocal in_link
+        if in_link == 2:
+            in_link = 0
         if parts:
             text = " ".join("".join(parts).split())
             if text:
@@ -114,7 +121,10 @@ def blocks(page: str) -> list[Block]:
             linked.clear()
 
     def close(index: int) -> None:
+        nonlocal in_link
         flush()
+        if index < link_depth:
+            in_link = 0
         del stack[index:]
 
     while at < n:
@@ -153,7 +163,10 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in INLINE:
             if tag == "a":
-                in_link = 1
+                in_link, link_depth = 0, len(stack)
+                if _HREF.search(m["rest"] or ""):
+                    end = _NEXT_A.search(page, at)
+                    in_link = 1 if end and end[1] else 2
             continue
         if tag in VOID:
             if tag == "br":
@@ -245,10 +258,12 @@ def main_text(page: str | None) -> str:
         holder = max((k for k in named if held[k] >= 0.95 * most), key=lambda k: nodes[k][0])
     else:
         holder = max((k for k in held if held[k] == total), key=lambda k: nodes[k][0], default=None)
+    article = holder is not None and nodes[holder][1].tag not in ("html", "body")
     out = []
     for b in found:
         inside = holder is None or any(id(node) == holder for node in b.nodes)
-        if inside and not b.out and paths[b.path][3] <= LINKED * paths[b.path][1]:
+        heading = bool(b.nodes) and b.nodes[-1].tag in HEADINGS
+        if inside and not b.out and (article or heading or paths[b.path][3] <= LINKED * paths[b.path][1]):
             out.append(b.text)
     return "\n\n".join(out)
 

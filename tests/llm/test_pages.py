@@ -112,3 +112,14 @@ def test_parts_of_names_exclude_no_article(open_):
     body = "<h2>Title</h2><p>The first paragraph, with some words. It goes on.</p><p>The second one, as long as the first. It ends.</p>"
     page = f"<html><body>{NOISE}{open_}{body}</{open_[1:4] if 'div' in open_ else 'article'}>{'</div>' * (open_.count('<') - 1)}{REST}</body></html>"
     assert html_text.main_text(page).split("\n\n") == ["Title", "The first paragraph, with some words. It goes on.", "The second one, as long as the first. It ends."]
+
+
+@pytest.mark.parametrize("open_, close", [("<article>", "</article>"), ("<div class=post>", "</div>"), ("", "")])
+@pytest.mark.parametrize("top", ["", '<a name="top">', '<p><a href="#top">Top</p>'])
+def test_links_in_the_article(open_, close, top):
+    text = "<p>The first paragraph, with some words. It goes on.</p>"
+    body = f'{top}<h2><a href="#s1">Title</a></h2>{text}<h2><a name="s2">Other</a></h2>{text}'
+    sources = '<ul><li><a href="/1">A source, linked</a><li><a href="/2">Another</a></ul>' if open_ else ""
+    got = html_text.main_text(f"<html><body>{NOISE}{open_}{body}{sources}{text}{close}{REST}</body></html>").split("\n\n")
+    line = "The first paragraph, with some words. It goes on."
+    assert [x for x in got if x != "Top"] == ["Title", line, "Other", line, *(["A source, linked", "Another"] if open_ else []), line]
