@@ -44,14 +44,12 @@ def test_sample_is_what_calibrate_keeps(spark, sf):
 
 
 def test_rare_cell_does_not_set_the_sample(spark):
-    """A stray source leaves the kept share; both ways agree, and marginals that can be met are."""
+    """A stray source leaves the kept share, and marginals that can be met are."""
     rows = [(f"s{i % 3}", f"l{i % 2}", f"t{i % 5}", 10_000 + 37 * i) for i in range(60)] + [("stray", "", "t0", 60)]
     df = spark.createDataFrame(rows, "source string, lang string, topic string, n_tokens long")
     here = {tuple(r)[:3]: r for r in mixing.rates(df, None).collect()}
-    spread = {tuple(r)[:3]: r.probability for r in mixing.rates(df, None, local=0).collect()}
     total = sum(r[3] for r in rows)
     kept = sum(r[3] * here[r[:3]].probability for r in rows)
     assert kept / total == pytest.approx(mixing.KEEP, rel=1e-3) == here["stray", "", "t0"].kept_share
     assert here["stray", "", "t0"].probability == pytest.approx(1)
-    assert all(here[k].probability == pytest.approx(spread[k], rel=1e-3) for k in spread)
     assert sum(n * here[s, la, t].probability for s, la, t, n in rows if s == "s0") / kept == pytest.approx(sum(n**0 for s, _, _, n in rows if s == "s0") / 60, abs=0.02)
