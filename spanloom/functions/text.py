@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: All characters that count as white space.
 SPACE = "[\\t-\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
@@ -39,22 +40,39 @@ def normalized_hash(text: Column, mapping: tuple[str, str] = ("", "")) -> Column
     return F.sha2(F.translate(strip_punctuation(strip_space(text)), *mapping), 256)
 
 
-def simplification(spark) -> tuple[str, str]:
-    """The platform's one-to-one traditional-to-simplified characters, with the corrections above."""
+def _transliterated(spark, rules: str, source: list[str]) -> list[str]:
+    """Each character under rules of the platform's transliterator. Without one on the class path this is an error, as hashes and ids depend on it."""
     jvm = spark._jvm
-    transform = None
     for name in ("com.ibm.icu.text.Transliterator", "jdk.internal.icu.text.Transliterator"):
         try:
-            transform = getattr(reduce(getattr, name.split("."), jvm), "getInstance")("Hant-Hans")
-            break
+            transform = getattr(reduce(getattr, name.split("."), jvm), "getInstance")(rules)
         except Exception:  # noqa: BLE001  not on this platform's class path
             continue
+        return transform.transliterate("\n".join(source)).split("\n")
+    raise RuntimeError("no transliterator on the class path: put ICU4J on it")
+
+
+def simplification(spark) -> tuple[str, str]:
+    """The platform's one-to-one traditional-to-simplified characters, with the corrections above."""
     source = [chr(c) for c in range(0x4E00, 0xA000)]
-    target = list(transform.transliterate("".join(source))) if transform else source
-    pairs = {a: b for a, b in zip(source, target, strict=True) if a != b and a not in LEFT_ALONE} | SIMPLIFIED
+    pairs = {a: b for a, b in zip(source, _transliterated(spark, "Hant-Hans", source), strict=True) if a != b and a not in LEFT_ALONE} | SIMPLIFIED
     return "".join(pairs), "".join(pairs.values())
 
 
+def romanization(spark) -> dict[str, str]:
+    """Each Chinese character's syllable in plain letters."""
+    source = [chr(c) for c in range(0x4E00, 0xA000)]
+    said = _transliterated(spark, "Han-Latin; Latin-ASCII; Lower", source)
+    return {a: "".join(x for x in b if "a" <= x <= "z") for a, b in zip(source, said, strict=True) if a != b}
+
+
+def latin_id(name: Column, syllables: dict[str, str]) -> Column:
+    """An id of a name: its syllables and its own letters and digits, nothing between."""
+    known = F.create_map(*(F.lit(x) for pair in syllables.items() for x in pair)) if syllables else F.create_map().cast("map<string,string>")
+    one = lambda c: F.coalesce(F.try_element_at(known, c), F.when(c.rlike("^[A-Za-z0-9]$"), F.lower(c)), F.lit(""))
+    return F.array_join(F.transform(F.split(name, ""), one), "")
+
+
 def ordered_hash(hashes: Column) -> Column:
     """Hash of array<struct<id, hash>> in lexicographic order of id, joined by line ends."""
     return F.sha2(F.array_join(F.transform(F.array_sort(hashes), lambda x: x["h"]), "\n"), 256)
@@ -69,8 +87,21 @@ def unescape_basic(text: Column) -> Column:
     return reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
 
 
+def _unescape(texts):
+    import html
+
+    import pyarrow as pa
+
+    return pa.array([t if t is None or "&" not in t else html.unescape(t) for t in texts.to_pylist()], pa.string())
+
+
+def unescape(text: Column) -> Column:
+    """All named and numeric character references decoded, in Arrow batches."""
+    return F.arrow_udf(_unescape, StringType())(text)
+
+
 def plain(markup: Column) -> Column:
-    return strip_space(unescape_basic(strip_tags(markup)))
+    return strip_space(unescape(strip_tags(markup)))
 
 
 def has_min(text: Column, chars: str = HAN, least: int = 5) -> Column:

@@ -13,7 +13,10 @@ _NOTE = f"注{_MARK}"
 
 def depths(rows: DataFrame, key: str, text: str = "text", opening: str = OPEN, closing: str = CLOSE) -> DataFrame:
     """One row per bracket: key, at, bracket, step (+1 or -1) and depth after it."""
-    chars = rows.select(key, F.posexplode(F.split(text, "")).alias("at", "bracket")).where(F.col("bracket").isin(opening, closing))
+    one = f"[^\\Q{opening}{closing}\\E]*[\\Q{opening}{closing}\\E]"
+    pieces = rows.select(key, F.posexplode(F.regexp_extract_all(text, F.lit(f"(?s){one}"), 0)).alias("_n", "_piece"))  # a row for each bracket
+    so_far = F.sum(F.length("_piece")).over(Window.partitionBy(key).orderBy("_n").rowsBetween(Window.unboundedPreceding, 0))
+    chars = pieces.select(key, (so_far - 1).cast("int").alias("at"), F.right("_piece", F.lit(1)).alias("bracket"))
     step = F.when(F.col("bracket") == opening, 1).otherwise(-1)
     w = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     return chars.withColumn("step", step).withColumn("depth", F.sum("step").over(w))
@@ -35,11 +38,28 @@ def orphans(rows: DataFrame, key: str, text: str = "text", opening: str = OPEN,
     return d.where(lone).select(key, "at", "bracket")
 
 
-def innermost_removed(text: Column, rounds: int = 4, opening: str = OPEN, closing: str = CLOSE) -> Column:
-    """The text without bracketed parts, from the inside out, to a bounded depth."""
-    for _ in range(rounds):
-        text = F.regexp_replace(text, f"{opening}[^{opening}{closing}]*{closing}", "")
-    return text
+def innermost_removed(text: Column, opening: str = OPEN, closing: str = CLOSE) -> Column:
+    """The text without bracketed parts, at any depth; brackets without partner are ordinary characters.
+
+    One pass with a stack: an opening bracket begins a part, a closing one drops the last part.
+    """
+    tokens = F.regexp_extract_all(text, F.lit(f"(?s)[\\Q{opening}{closing}\\E]|[^\\Q{opening}{closing}\\E]+"), 0)
+    last = lambda parts: F.element_at(parts, -1)
+    front = lambda parts: F.slice(parts, 1, F.size(parts) - 1)
+
+    def step(parts: Column, token: Column) -> Column:
+        longer = F.concat(front(parts), F.array(F.concat(last(parts), token)))
+        return F.when(token == opening, F.concat(parts, F.array(F.lit("")))).when((token == closing) & (F.size(parts) > 1), front(parts)).otherwise(longer)
+
+    return F.aggregate(tokens, F.array(F.lit("")), step, lambda parts: F.array_join(parts, opening))
+
+
+def strict_notes(text: Column, opening: str = OPEN, closing: str = CLOSE) -> Column:
+    """The text itself, or an error where its brackets do not balance."""
+    count = lambda c: F.length(text) - F.length(F.replace(text, F.lit(c)))
+    left = innermost_removed(text, opening, closing)
+    lone = F.contains(left, F.lit(opening)) | F.contains(left, F.lit(closing)) | (count(opening) != count(closing))
+    return F.when(lone, F.raise_error(F.concat(F.lit("brackets do not balance: "), F.substring(text, 1, 40)))).otherwise(text)
 
 
 def split_notes(paragraphs: DataFrame, group: str, order: str, text: str = "text", opening: str = OPEN, closing: str = CLOSE) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import snippet
 from .merge import append
+from .spans import words_in
 from .validate import decision_error
 
 
@@ -63,7 +64,7 @@ def filled_from_reasoning(decisions: DataFrame, roster: DataFrame, roles: dict[s
     """decisions with the person that their reasoning names, where it was missing and exactly one person fits.
 
     decisions has `id`. Where a surface has role words, a person's description or name must hold one of them. Names of the roster,
-    a curated table, are sought by containment, which has no equi key.
+    a curated table, are found in one pass over the text and joined by name.
     """
     open_ = decisions.where("person_id IS NULL").select("id", "surface", "reasoning")
     fits = F.lit(True)
@@ -72,6 +73,8 @@ def filled_from_reasoning(decisions: DataFrame, roster: DataFrame, roles: dict[s
         for w in words:
             any_ = any_ | F.contains(F.concat_ws(" ", "brief", "token"), F.lit(w))
         fits = fits & ((F.col("surface") != surface) | any_)
-    hits = open_.join(F.broadcast(lookup(roster)), F.contains("reasoning", F.col("token"))).where(fits)
+    names = lookup(roster)
+    found = words_in(open_, "reasoning", [r.token for r in names.select("token").distinct().collect()], "token")
+    hits = found.join(names, "token").where(fits)
     one = hits.groupBy("id").agg(F.count_distinct("person_id").alias("n"), F.min("person_id").alias("found")).where("n = 1")
     return decisions.join(one.select("id", "found"), "id", "left").withColumn("person_id", F.coalesce("person_id", "found")).drop("found")

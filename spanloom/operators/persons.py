@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .spans import alternation, carry, find_all, greedy_spans, occurrences
+from .spans import alternation, carry, find_all, greedy_spans, occurrences, words_in
 
 WINDOW = 8
 #: Titles that name different people in different places.
@@ -35,10 +35,10 @@ def named(segments: DataFrame, roster: DataFrame) -> DataFrame:
     books = [r[0] for r in segments.select("book").distinct().collect()]
     out = None
     for book in sorted(b for b in books if b is not None):
-        known = patterns(roster, book).cache()
-        rx = alternation([r.surface for r in known.collect()])
+        rows = patterns(roster, book).collect()
+        rx = alternation([r.surface for r in rows])
         if rx:
-            spans = segments.where(F.col("book") == book).select("doc", "seg_idx", "seg_id", F.inline(find_all(F.col("text"), rx))).join(F.broadcast(known), "surface")
+            spans = segments.where(F.col("book") == book).select("doc", "seg_idx", "seg_id", F.inline(find_all(F.col("text"), rx))).join(F.broadcast(segments.sparkSession.createDataFrame(rows, "surface string, person_id string, via string")), "surface")
             out = spans if out is None else out.unionByName(spans)
     spark: SparkSession = segments.sparkSession
     empty = spark.createDataFrame([], "surface string, doc string, seg_idx int, seg_id string, at int, length int, person_id string, via string")
@@ -48,7 +48,8 @@ def named(segments: DataFrame, roster: DataFrame) -> DataFrame:
 def given_names(segments: DataFrame, roster: DataFrame, spans: DataFrame) -> DataFrame:
     """Occurrences of given names that start in no name's span and are not part of a blocked word."""
     people = roster.where("given_name IS NOT NULL").select(F.col("id").alias("person_id"), F.col("given_name").alias("surface"), F.coalesce("given_name_blockers", F.array().cast("array<string>")).alias("blockers"))
-    at = segments.join(F.broadcast(people), F.contains(segments["text"], people["surface"])).select("doc", "seg_idx", "seg_id", "text", "person_id", "surface", "blockers", F.explode(occurrences(F.col("text"), F.col("surface"))).alias("at"))
+    found = words_in(segments.select("doc", "seg_idx", "seg_id", "text"), "text", [r.surface for r in people.select("surface").distinct().collect()])
+    at = found.join(people, "surface").select("doc", "seg_idx", "seg_id", "text", "person_id", "surface", "blockers", F.explode(occurrences(F.col("text"), F.col("surface"))).alias("at"))
     n = F.length("surface")
     left = (F.col("at") > 0) & F.array_contains("blockers", F.substring(F.col("text"), F.col("at"), n + 1))
     right = F.array_contains("blockers", F.substring(F.col("text"), F.col("at") + 1, n + 1)) & (F.col("at") + n + 1 <= F.length("text"))

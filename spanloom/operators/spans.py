@@ -51,6 +51,41 @@ def dictionary_spans(segments: DataFrame, words: list[str], text: str = "text")
     return segments.where(F.col(text).rlike(alternation(words))).select("*", spans)
 
 
+#: Words of one automaton; rosters are curated, and a larger list is an error rather than a driver out of memory.
+MAX_WORDS = 1_000_000
+
+
+def words_in(rows: DataFrame, text: str, words: list[str], name: str = "surface") -> DataFrame:
+    """rows with each of the words that their text holds, once: one pass over a text for all words."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    if len(words) > MAX_WORDS:
+        raise ValueError(f"{len(words)} words; at most {MAX_WORDS} are sought at once")
+    words = [w for w in words if w]
+    schema = StructType([*rows.schema.fields, StructField(name, StringType())])
+    place, names = rows.columns.index(text), [*rows.columns, name]
+
+    def run(batches):
+        import ahocorasick
+        import pyarrow as pa
+
+        automaton = ahocorasick.Automaton()
+        for w in words:
+            automaton.add_word(w, w)
+        if words:
+            automaton.make_automaton()
+        for batch in batches:
+            at, found = [], []
+            for k, t in enumerate(batch.column(place).to_pylist()):
+                own = sorted({w for _, w in automaton.iter(t)}) if t and words else []
+                at += [k] * len(own)
+                found += own
+            taken = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(found, pa.string())], names=names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def overlap_anti(spans: DataFrame, others: DataFrame, key: str | list[str]) -> DataFrame:
     """Spans that overlap none of the others of the same key (at and end on both sides, ends exclusive)."""
     keys = [key] if isinstance(key, str) else key

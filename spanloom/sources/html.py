@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import HAN, has_min, normalize_title, plain, strip_tags, unescape_basic
+from ..functions.text import HAN, has_min, normalize_title, plain, strip_space, strip_tags, unescape, unescape_basic
 
-_BODY = '(?s)<div class="[^"]*\\bmw-parser-output\\b[^"]*"[^>]*>(.*?)(?:<div class="printfooter"|<div id="catlinks"|\\z)'
+#: The class of a page's text container, and what stands behind the text.
+CONTAINER = "mw-parser-output"
+BEHIND = ['<div class="printfooter"', '<div id="catlinks"']
 
 
 def wiki_body(page: Column) -> Column:
-    return F.regexp_extract(page, _BODY, 1)
+    """What the text container holds, up to the first thing behind the text; empty where there is no container."""
+    inside = F.get(F.split(page, f"<div\\b[^>]*[\"\\s]{CONTAINER}[\"\\s][^>]*>", 2), F.lit(1))
+    for mark in BEHIND:
+        inside = F.get(F.split(inside, f"\\Q{mark}\\E", 2), F.lit(0))
+    return F.coalesce(inside, F.lit(""))
 
 
 def headings_as_paragraphs(body: Column) -> Column:
@@ -46,6 +52,12 @@ def table_rows(pages: DataFrame, key: str, page: str = "html") -> DataFrame:
     return rows.withColumn("section", filled).where("length(raw) > 0").drop("tr", "label")
 
 
+def wrong_juan(page: Column, expected: Column) -> Column:
+    """What is wrong where a page's paragraph links lead to another chapter than expected, else null."""
+    said = F.nullif(F.regexp_extract(page, 'href="[^"]*?/(\\d+)/\\d+"', 1), F.lit(""))
+    return F.when(said.cast("int") != expected, F.concat(F.lit("links lead to chapter "), said))
+
+
 def is_contents_page(page: Column) -> Column:
     return ~F.contains(page, F.lit('<td class="ctext">'))
 
@@ -56,17 +68,23 @@ def section_title(rows: DataFrame, key: str) -> DataFrame:
     return first.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", "section"))), lambda s: s["section"]), "、").alias("title"))
 
 
+#: Signs that decoded text may hold, as private characters while tags are still there.
+_SIGNS = [("<", "\ue000", "&(?:lt|LT|#0*60|#[xX]0*3[cC]);?"), (">", "\ue001", "&(?:gt|GT|#0*62|#[xX]0*3[eE]);?")]
+
+
 def inline_comments(raw: Column) -> Column:
     """(main, notes) of a cell with `span.inlinecomment` notes; a note's place is the length of the main text before it."""
-    parts = F.split(raw, '(?s)<span class="inlinecomment">', -1)
-    start = F.struct(F.lit("").alias("main"), F.array().cast("array<struct<at:int,text:string>>").alias("notes"))
+    for _, private, rx in _SIGNS:
+        raw = F.regexp_replace(raw, rx, private)
+    parts = F.split(unescape(raw), '(?s)<span class="inlinecomment">', -1)
+    bare = lambda x: F.translate(strip_space(strip_tags(x)), "".join(p for _, p, _ in _SIGNS), "".join(s for s, _, _ in _SIGNS))
 
     def step(s: Column, part: Column) -> Column:
         pieces = F.split(part, "</span>", 2)
-        note, rest = plain(F.get(pieces, F.lit(0))), plain(F.coalesce(F.get(pieces, F.lit(1)), F.lit("")))
+        note, rest = bare(F.get(pieces, F.lit(0))), bare(F.coalesce(F.get(pieces, F.lit(1)), F.lit("")))
         return F.struct(F.concat(s["main"], rest).alias("main"), F.array_append(s["notes"], F.struct(F.length(s["main"]).cast("int").alias("at"), note.alias("text"))).alias("notes"))
 
-    first = F.struct(plain(F.get(parts, F.lit(0))).alias("main"), start["notes"].alias("notes"))
+    first = F.struct(bare(F.get(parts, F.lit(0))).alias("main"), F.array().cast("array<struct<at:int,text:string>>").alias("notes"))
     return F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), first, step)
 
 
