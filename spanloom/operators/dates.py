@@ -8,28 +8,108 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numerals, text
 from .spans import alternation, find_all
 
-#: Era names with first and last year AD, by dynasty.
-ERAS = {
-    "han": """更始 23 25, 建武 25 56, 中元 56 57, 永平 58 75, 建初 76 84, 元和 84 87, 章和 87 88, 永元 89 105, 元興 105 105,
-        延平 106 106, 永初 107 113, 元初 114 120, 永寧 120 121, 建光 121 122, 延光 122 125, 永建 126 132, 陽嘉 132 135, 永和 136 141,
-        漢安 142 144, 建康 144 144, 永熹 145 145, 永憙 145 145, 本初 146 146, 建和 147 149, 和平 150 150, 元嘉 151 152, 永興 153 154,
-        永壽 155 158, 延熹 158 167, 永康 167 167, 建寧 168 172, 熹平 172 178, 光和 178 184, 中平 184 189, 光熹 189 189, 昭寧 189 189,
-        永漢 189 189, 初平 190 193, 興平 194 195, 建安 196 220, 延康 220 220""",
-    "wei": "黃初 220 226, 太和 227 233, 青龍 233 237, 景初 237 239, 正始 240 249, 嘉平 249 254, 正元 254 256, 甘露 256 260, 景元 260 264, 咸熙 264 265",
-    "shu": "章武 221 223, 建興 223 237, 延熙 238 257, 景耀 258 263, 炎興 263 263",
-    "wu": """黃武 222 229, 黃龍 229 231, 嘉禾 232 238, 赤烏 238 251, 太元 251 252, 神鳳 252 252, 建興 252 253, 五鳳 254 256, 太平 256 258,
-        永安 258 264, 元興 264 265, 甘露 265 266, 寶鼎 266 269, 建衡 269 271, 鳳凰 272 274, 天冊 275 275, 天璽 276 276, 天紀 277 280""",
-    "jin": "泰始 265 274, 咸寧 275 279, 太康 280 289",
-}
+#: Era names with first and last year AD and their dynasty.
+ERAS = [
+    ("更始", 23, 25, "han"),
+    ("建武", 25, 56, "han"),
+    ("中元", 56, 57, "han"),
+    ("永平", 58, 75, "han"),
+    ("建初", 76, 84, "han"),
+    ("元和", 84, 87, "han"),
+    ("章和", 87, 88, "han"),
+    ("永元", 89, 105, "han"),
+    ("元興", 105, 105, "han"),
+    ("延平", 106, 106, "han"),
+    ("永初", 107, 113, "han"),
+    ("元初", 114, 120, "han"),
+    ("永寧", 120, 121, "han"),
+    ("建光", 121, 122, "han"),
+    ("延光", 122, 125, "han"),
+    ("永建", 126, 132, "han"),
+    ("陽嘉", 132, 135, "han"),
+    ("永和", 136, 141, "han"),
+    ("漢安", 142, 144, "han"),
+    ("建康", 144, 144, "han"),
+    ("永熹", 145, 145, "han"),
+    ("永憙", 145, 145, "han"),
+    ("本初", 146, 146, "han"),
+    ("建和", 147, 149, "han"),
+    ("和平", 150, 150, "han"),
+    ("元嘉", 151, 152, "han"),
+    ("永興", 153, 154, "han"),
+    ("永壽", 155, 158, "han"),
+    ("延熹", 158, 167, "han"),
+    ("永康", 167, 167, "han"),
+    ("建寧", 168, 172, "han"),
+    ("熹平", 172, 178, "han"),
+    ("光和", 178, 184, "han"),
+    ("中平", 184, 189, "han"),
+    ("光熹", 189, 189, "han"),
+    ("昭寧", 189, 189, "han"),
+    ("永漢", 189, 189, "han"),
+    ("初平", 190, 193, "han"),
+    ("興平", 194, 195, "han"),
+    ("建安", 196, 220, "han"),
+    ("延康", 220, 220, "han"),
+    ("黃初", 220, 226, "wei"),
+    ("太和", 227, 233, "wei"),
+    ("青龍", 233, 237, "wei"),
+    ("景初", 237, 239, "wei"),
+    ("正始", 240, 249, "wei"),
+    ("嘉平", 249, 254, "wei"),
+    ("正元", 254, 256, "wei"),
+    ("甘露", 256, 260, "wei"),
+    ("景元", 260, 264, "wei"),
+    ("咸熙", 264, 265, "wei"),
+    ("章武", 221, 223, "shu"),
+    ("建興", 223, 237, "shu"),
+    ("延熙", 238, 257, "shu"),
+    ("景耀", 258, 263, "shu"),
+    ("炎興", 263, 263, "shu"),
+    ("黃武", 222, 229, "wu"),
+    ("黃龍", 229, 231, "wu"),
+    ("嘉禾", 232, 238, "wu"),
+    ("赤烏", 238, 251, "wu"),
+    ("太元", 251, 252, "wu"),
+    ("神鳳", 252, 252, "wu"),
+    ("建興", 252, 253, "wu"),
+    ("五鳳", 254, 256, "wu"),
+    ("太平", 256, 258, "wu"),
+    ("永安", 258, 264, "wu"),
+    ("元興", 264, 265, "wu"),
+    ("甘露", 265, 266, "wu"),
+    ("寶鼎", 266, 269, "wu"),
+    ("建衡", 269, 271, "wu"),
+    ("鳳凰", 272, 274, "wu"),
+    ("天冊", 275, 275, "wu"),
+    ("天璽", 276, 276, "wu"),
+    ("天紀", 277, 280, "wu"),
+    ("泰始", 265, 274, "jin"),
+    ("咸寧", 275, 279, "jin"),
+    ("太康", 280, 289, "jin"),
+]
 #: Dynasties whose eras a book may mean.
-BOOK_DYNASTIES = {"wei": "wei han", "shu": "shu han", "wu": "wu han", "hhs": "han", "zztj": "han wei shu wu jin"}
+BOOK_DYNASTIES = [
+    ("wei", "wei"),
+    ("wei", "han"),
+    ("shu", "shu"),
+    ("shu", "han"),
+    ("wu", "wu"),
+    ("wu", "han"),
+    ("hhs", "han"),
+    ("zztj", "han"),
+    ("zztj", "wei"),
+    ("zztj", "shu"),
+    ("zztj", "wu"),
+    ("zztj", "jin"),
+]
 #: Openings of segments that tell of earlier events.
 FLASHBACK = ("初，", "初．", "先是，", "先是。", "昔，", "往者，")
 
@@ -40,16 +120,12 @@ MENTION = "struct<at:int,length:int,kind:string,era:string,start_ad:int,end_ad:i
 RESOLVED = "at int, length int, surface string, kind string, resolution string, year_ad int, era string, era_year int, month_chinese string, month_ordinal int, reasoning string, confidence double"
 
 
-def era_rows() -> list[tuple[str, int, int, str]]:
-    return [(n, int(a), int(b), d) for d, eras in ERAS.items() for n, a, b in (e.split() for e in eras.split(","))]
-
-
 def eras(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(era_rows(), "name string, start_ad int, end_ad int, dynasty string")
+    return spark.createDataFrame(ERAS, "name string, start_ad int, end_ad int, dynasty string")
 
 
 def book_dynasties(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(b, d) for b, all_ in BOOK_DYNASTIES.items() for d in all_.split()], "book string, dynasty string")
+    return spark.createDataFrame(BOOK_DYNASTIES, "book string, dynasty string")
 
 
 def resolve_eras(mentions: DataFrame, dimension: DataFrame, allowed: DataFrame) -> DataFrame:
@@ -78,7 +154,7 @@ def mentions(segments: DataFrame, dimension: DataFrame, allowed: DataFrame) -> D
     Columns: doc, seg_idx, seg_id, flashback, at, length, kind, era, start_ad, end_ad, number, month_chinese, month_ordinal, surface.
     """
     t = F.col("text")
-    names = alternation([n for n, *_ in era_rows()])
+    names = alternation([n for n, *_ in ERAS])
     base = segments.select("doc", "seg_idx", "seg_id", "book", "text")
 
     def found(pattern: str):
@@ -151,55 +227,75 @@ def _written(year: int) -> str:
     return "元" if year == 1 else str(year)
 
 
-def resolve_document(rows: pd.DataFrame) -> pd.DataFrame:
-    """Resolve one document's mentions in order.
+class Narrative:
+    """Resolves mentions in order.
 
     Two clocks run: the document's, and the segment's, which starts from it. An absolute date behind the
     document's clock is a look back: until the segment ends or a newer absolute date comes, only the segment's clock follows.
     """
-    rank = {k: i for i, k in enumerate(KINDS)}
-    rows = rows.assign(rank=rows["kind"].map(rank)).sort_values(["seg_idx", "at", "rank"], kind="stable")
-    document, out = Clock(), []
-    for _, segment in rows.groupby("seg_idx", sort=False):
-        here, back = document, False
-        for m in segment.itertuples(index=False):
-            said, year, era, era_year, note = m.surface, None, None, None, ""
-            if m.kind == "absolute":
-                then = Clock(int(m.start_ad) + int(m.number) - 1, m.era, int(m.start_ad), int(m.end_ad))
-                back = document.year is not None and then.year < document.year
-                note = f"原文「{said}」直接出现年号；解析為 AD {then.year}" + ("（回溯前事，不推進章節時間軸）" if back else "")
-                now = here = then
-            elif m.kind == "bare_year":
-                if here.era is None or m.number > here.last - here.first + 1:
-                    continue
-                now = here = replace(here, year=here.first + int(m.number) - 1)
-                note = f"承前文年號「{now.era}」推得，「{said}」 = {now.era}{_written(int(m.number))}年 = AD {now.year}"
-            elif here.year is None:
-                continue
-            elif m.kind == "this_year":
-                now, note = here, f"「{said}」 = 当前年 {here}"
-            elif m.kind == "next_year":
-                now = here.at_year(here.year + 1)
-                note = f"「{said}」 = 当前年 {here} 之次年 = AD {now.year}" + ("" if now.era else "（跨年號邊界，新年號未明）")
-                here = now
-            elif m.kind == "prev_year":
-                now = here.at_year(here.year - 1)
-                note = f"「{said}」 = 当前年 {here} 之前一年 = AD {now.year}（往回引述，章節時間軸不變）"
-            else:
-                now, note = here, f"年承前文 {here}，月份「{said}」"
-            if not back and m.kind in ("absolute", "bare_year", "next_year"):
-                document = here
-            year, era, era_year = now.year, now.era, now.era_year
-            doubt = 0.5 if m.kind != "absolute" and m.flashback and not back else None
-            out.append((m.doc, m.seg_idx, m.seg_id, m.at, m.length, said, "absolute" if m.kind == "absolute" else "relative", m.kind, year, era, era_year, m.month_chinese, m.month_ordinal, note, doubt))
-    kept = pd.DataFrame(out, columns=["doc", "seg_idx", "seg_id", *(c.split()[0] for c in RESOLVED.split(", "))])
-    return kept.astype({"year_ad": "Int32", "era_year": "Int32", "month_ordinal": "Int32", "confidence": "float64"})
+
+    def __init__(self):
+        self.at, self.document, self.here, self.back = (None, None), Clock(), Clock(), False
+
+    def read(self, doc, seg_idx, kind, era, start_ad, end_ad, number, said, flashback) -> tuple | None:
+        """(year, era, year of the era, reasoning, confidence), or None where nothing says the year."""
+        if (doc, seg_idx) != self.at:
+            if doc != self.at[0]:
+                self.document = Clock()
+            self.at, self.here, self.back = (doc, seg_idx), self.document, False
+        here = self.here
+        if kind == "absolute":
+            now = Clock(start_ad + number - 1, era, start_ad, end_ad)
+            self.back = self.document.year is not None and now.year < self.document.year
+            note = f"原文「{said}」直接出现年号；解析為 AD {now.year}" + ("（回溯前事，不推進章節時間軸）" if self.back else "")
+        elif kind == "bare_year":
+            if here.era is None or number > here.last - here.first + 1:
+                return None
+            now = replace(here, year=here.first + number - 1)
+            note = f"承前文年號「{now.era}」推得，「{said}」 = {now.era}{_written(number)}年 = AD {now.year}"
+        elif here.year is None:
+            return None
+        elif kind == "this_year":
+            now, note = here, f"「{said}」 = 当前年 {here}"
+        elif kind == "next_year":
+            now = here.at_year(here.year + 1)
+            note = f"「{said}」 = 当前年 {here} 之次年 = AD {now.year}" + ("" if now.era else "（跨年號邊界，新年號未明）")
+        elif kind == "prev_year":
+            now = here.at_year(here.year - 1)
+            note = f"「{said}」 = 当前年 {here} 之前一年 = AD {now.year}（往回引述，章節時間軸不變）"
+        else:
+            now, note = here, f"年承前文 {here}，月份「{said}」"
+        if kind in ("absolute", "bare_year", "next_year"):
+            self.here = now
+            if not self.back:
+                self.document = now
+        return now.year, now.era, now.era_year, note, 0.5 if kind != "absolute" and flashback and not self.back else None
 
 
 def resolve(found: DataFrame) -> DataFrame:
-    """Resolved dates of mentions(); a document's mentions, not its text, are one group."""
+    """Resolved dates of mentions(). A task reads its documents' mentions in order and holds one batch, however long a document is."""
     schema = f"doc {found.schema['doc'].dataType.simpleString()}, seg_idx {found.schema['seg_idx'].dataType.simpleString()}, seg_id string, {RESOLVED}"
-    return found.groupBy("doc").applyInPandas(resolve_document, schema)
+    rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
+    said = ["doc", "seg_idx", "kind", "era", "start_ad", "end_ad", "number", "surface", "flashback"]
+    kept = ["doc", "seg_idx", "seg_id", "at", "length", "surface", "kind", "month_chinese", "month_ordinal"]
+    made = {"year_ad": pa.int32(), "era": pa.string(), "era_year": pa.int32(), "reasoning": pa.string(), "confidence": pa.float64()}
+    order = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches):
+        story = Narrative()
+        for batch in batches:
+            got = [story.read(*row) for row in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in said), strict=True)]
+            rows = batch.filter(pa.array([x is not None for x in got], pa.bool_()))
+            got = [x for x in got if x is not None]
+            out = {c: rows.column(rows.schema.get_field_index(c)) for c in kept}
+            out |= {c: pa.array([x[k] for x in got], t) for k, (c, t) in enumerate(made.items())}
+            out["resolution"] = out["kind"]
+            out["kind"] = pa.array(["absolute" if k == "absolute" else "relative" for k in out["resolution"].to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([out[c] for c in order], names=order)
+
+    ints = {c: F.col(c).cast("int") for c in ("at", "length", "start_ad", "end_ad", "number", "month_ordinal")}
+    rows = found.withColumns(ints).repartition("doc").sortWithinPartitions("doc", "seg_idx", "at", rank, "length", "surface")
+    return rows.select(*dict.fromkeys(said + kept)).mapInArrow(run, schema)
 
 
 def out_of_order(rows: DataFrame, group: list[str], order: list[str], value: str) -> DataFrame:

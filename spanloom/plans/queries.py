@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import numerals, text
 from ..operators import align, brackets, dates, merge, publish, spans, validate
 from ..sources import html, sinks
-from . import service
+from ..streaming import jobs
+from . import corpus_queries, service
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -274,25 +275,37 @@ def out_of_order_guard(spark, sf_dir):
     return dates.out_of_order(read(spark, sf_dir, "events"), ["user_id"], ["event_id"], "value").select("event_id", "backward")
 
 
-_ERA_VALUES = ", ".join(f"({k}, '{n}', {a}, {b}, '{d}')" for k, (n, a, b, d) in enumerate(dates.era_rows()))
-_BOOK_VALUES = ", ".join(f"('{b}', '{d}')" for b, all_ in dates.BOOK_DYNASTIES.items() for d in all_.split())
-_BOOKS = list(dates.BOOK_DYNASTIES)
+_ERA_VALUES = ", ".join(f"({k}, '{n}', {a}, {b}, '{d}')" for k, (n, a, b, d) in enumerate(dates.ERAS))
+_BOOK_VALUES = ", ".join(f"('{b}', '{d}')" for b, d in dates.BOOK_DYNASTIES)
+_BOOKS = list(dict.fromkeys(b for b, _ in dates.BOOK_DYNASTIES))
 
 
 @query(f"""WITH eras(k, era, start_ad, end_ad, dynasty) AS (VALUES {_ERA_VALUES}), allowed(book, dynasty) AS (VALUES {_BOOK_VALUES}),
-  m AS (SELECT p_partkey, [{", ".join(f"'{b}'" for b in _BOOKS)}][(p_partkey % {len(_BOOKS)} + 1)::INT] AS book, e.era, p_size % 12 + 1 AS era_year FROM part JOIN eras e ON e.k = p_partkey % {len(dates.era_rows())})
+  m AS (SELECT p_partkey, [{", ".join(f"'{b}'" for b in _BOOKS)}][(p_partkey % {len(_BOOKS)} + 1)::INT] AS book, e.era, p_size % 12 + 1 AS era_year FROM part JOIN eras e ON e.k = p_partkey % {len(dates.ERAS)})
   SELECT m.p_partkey, m.book, m.era, m.era_year::BIGINT AS era_year, min(e.start_ad + m.era_year - 1)::BIGINT AS year_ad
   FROM m JOIN eras e ON e.era = m.era JOIN allowed a ON a.book = m.book AND a.dynasty = e.dynasty
   WHERE m.era_year <= e.end_ad - e.start_ad + 1 GROUP BY ALL HAVING count(*) = 1""")
 def era_resolve_unique(spark, sf_dir):
     at = lambda names, n: F.element_at(F.array(*map(F.lit, names)), (F.col("p_partkey") % n + 1).cast("int"))
-    names = [n for n, *_ in dates.era_rows()]
+    names = [n for n, *_ in dates.ERAS]
     m = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), at(_BOOKS, len(_BOOKS)).alias("book"), at(names, len(names)).alias("era"), (F.col("p_size") % 12 + 1).cast("int").alias("era_year"))
     got = dates.resolve_eras(m, dates.eras(spark), dates.book_dynasties(spark))
     return got.select(F.col("id").alias("p_partkey"), "book", "era", big("era_year").alias("era_year"), big("year_ad").alias("year_ad"))
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT user_id, event_id, event_type AS kind, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS k, 196 + event_id % 25 AS y FROM events),
+  s AS (
+    SELECT DISTINCT user_id, -1::BIGINT AS k, NULL::BIGINT AS event_id, NULL::VARCHAR AS kind, NULL::BIGINT AS doc_year, false AS doc_era, NULL::BIGINT AS here, false AS era, false AS back, NULL::BIGINT AS year_ad FROM events
+    UNION ALL
+    SELECT user_id, k, event_id, kind, CASE WHEN moves AND NOT now_back THEN now_here ELSE doc_year END, CASE WHEN moves AND NOT now_back THEN now_era ELSE doc_era END, now_here, now_era, now_back,
+           CASE kind WHEN 'purchase' THEN y WHEN 'signup' THEN CASE WHEN era THEN y END WHEN 'click' THEN here + 1 WHEN 'error' THEN here - 1 ELSE here END
+    FROM (SELECT *, CASE kind WHEN 'purchase' THEN coalesce(y < doc_year, false) ELSE back END AS now_back, CASE kind WHEN 'purchase' THEN y WHEN 'signup' THEN CASE WHEN era THEN y ELSE here END WHEN 'click' THEN here + 1 ELSE here END AS now_here,
+                 CASE kind WHEN 'purchase' THEN true WHEN 'click' THEN era AND coalesce(here + 1 BETWEEN 196 AND 220, false) ELSE era END AS now_era, kind = 'purchase' OR (kind = 'signup' AND era) OR (kind = 'click' AND here IS NOT NULL) AS moves
+          FROM (SELECT e.user_id, e.k, e.event_id, e.kind, e.y, doc_year, doc_era, CASE WHEN e.k % 10 = 0 THEN doc_year ELSE here END AS here, CASE WHEN e.k % 10 = 0 THEN doc_era ELSE era END AS era, e.k % 10 <> 0 AND back AS back
+                FROM s JOIN e ON e.user_id = s.user_id AND e.k = s.k + 1)))
+  SELECT user_id, k // 10 AS seg_idx, k % 10 AS at, CASE kind WHEN 'purchase' THEN 'absolute' WHEN 'signup' THEN 'bare_year' WHEN 'view' THEN 'bare_month' WHEN 'click' THEN 'next_year' ELSE 'prev_year' END AS resolution,
+         year_ad, CASE WHEN kind <> 'purchase' AND event_id % 7 = 0 AND NOT back THEN 0.5::DOUBLE END AS confidence
+  FROM s WHERE year_ad IS NOT NULL""")
 def state_machine_full(spark, sf_dir):
     """Events as date mentions: each user is a document, every ten events a segment."""
     kinds = dict(zip(["purchase", "signup", "view", "click", "error"], ["absolute", "bare_year", "bare_month", "next_year", "prev_year"], strict=True))
@@ -479,8 +492,7 @@ def collision_free_ids(spark, sf_dir):
 
 @query("""SELECT l_returnflag, l_linestatus, band, count(*) AS n FROM (SELECT l_returnflag, l_linestatus, CASE WHEN l_quantity >= 40 THEN '40+' WHEN l_quantity >= 20 THEN '20-39' WHEN l_quantity >= 10 THEN '10-19' ELSE '0-9' END AS band FROM lineitem) GROUP BY ALL""")
 def bands(spark, sf_dir):
-    q = F.col("l_quantity")
-    band = F.when(q >= 40, "40+").when(q >= 20, "20-39").when(q >= 10, "10-19").otherwise("0-9")
+    band = publish.band(F.col("l_quantity"), [40, 20, 10, 0])
     return read(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus", band.alias("band")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -498,27 +510,33 @@ def home_totals(spark, sf_dir):
 @query("SELECT date_trunc('day', ts)::DATE::VARCHAR AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def streaming_typed_counts(spark, sf_dir):
     """The whole table as a stream that ends when all is read, written by batch into the shared folder."""
-    return _streamed(spark, sf_dir, "counts", lambda s: s.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n")), "complete")
+    days = lambda s: jobs.typed_counts(s).select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    return _streamed(spark, sf_dir, "counts", days, "complete")
 
 
 @query("""SELECT event_id, coalesce(value < max(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS backward FROM (SELECT user_id, event_id, floor(value)::INT AS value FROM events)""")
 def streaming_clock(spark, sf_dir):
-    from ..streaming.jobs import clocks
-
-    rows = lambda s: clocks(s.select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("place"), F.floor("value").cast("int").alias("year"))).select(F.col("place").alias("event_id"), "backward")
+    rows = lambda s: jobs.clocks(s.select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("place"), F.floor("value").cast("int").alias("year"))).select(F.col("place").alias("event_id"), "backward")
     return _streamed(spark, sf_dir, "clock", rows, "append")
 
 
+@query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+  s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM g)
+  SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_at, strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S') AS ends_at, count(*) AS n FROM s GROUP BY user_id, session""")
+def carried_sessions(spark, sf_dir):
+    at = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    found = jobs.carried_sessions(read(spark, sf_dir, "events").select("user_id", "ts"))
+    return found.select("user_id", at("start").alias("first_at"), at("end").alias("ends_at"), "n")
+
+
 def _streamed(spark: SparkSession, sf_dir: str, name: str, plan, mode: str) -> DataFrame:
     import uuid
 
-    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "/tmp/checkpoints").rstrip("/")
-    root = f"{base}/stream-{name}-{uuid.uuid4().hex}"
-    schema = read(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
+    root = f"{jobs.shared_folder(spark)}/stream-{name}-{uuid.uuid4().hex}"
+    stream = jobs.new_files(spark, f"{sf_dir}/events.parquet*", read(spark, sf_dir, "events").schema)
+    jobs.run_once(plan(stream), f"{root}/out", f"{root}/state", mode)
+    return spark.read.parquet(f"{root}/out")
 
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{root}/out")
 
-    plan(stream).writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+QUERIES |= corpus_queries.QUERIES
+ORACLE |= corpus_queries.ORACLE

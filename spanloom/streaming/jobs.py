@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,9 +17,23 @@ def new_files(spark: SparkSession, path: str, schema: str, per_trigger: int = 10
 
 
 def run_once(stream: DataFrame, target: str, checkpoint: str, mode: str = "append", form: str = "parquet") -> None:
-    """Process all that is new and stop. The checkpoint makes a repeated run do nothing twice."""
-    query = stream.writeStream.format(form).outputMode(mode).option("checkpointLocation", checkpoint).option("path", target).trigger(availableNow=True).start()
-    query.awaitTermination()
+    """Process all that is new and stop. The checkpoint makes a repeated run do nothing twice; in complete mode the target holds the latest result."""
+    out = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if mode == "append":
+        out = out.format(form).option("path", target)
+    else:
+        out = out.foreachBatch(lambda batch, _: batch.write.mode("overwrite").format(form).save(target))
+    out.start().awaitTermination()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that all executors share: the session's checkpoint folder. Only in local mode is one made where none is set."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        at = f"file://{tempfile.gettempdir()}/checkpoints"
+    return at.rstrip("/")
 
 
 def typed_counts(events: DataFrame, time: str = "ts", width: str = "1 day", late: str = "2 days") -> DataFrame:
