@@ -19,6 +19,12 @@ COMMANDS = {
     "list-years": (["--first", "--last"], []),
     "resource": ([], ["uri"]),
 }
+#: Batch jobs of plans.jobs and their places on the command line; the first is the folder they work on.
+JOB_PLACES = {
+    "extract-dates": ["folder"], "extract-persons": ["folder"], "extract-bio-subjects": ["folder"], "find-ambiguous": ["folder", "out"], "merge-decisions": ["folder", "decisions"],
+    "publish-site": ["folder", "out"], "check": ["root"], "segment-hashes": ["root"],
+}
+JOB_OPTIONS = {"extract-dates": ["--only"], "extract-persons": ["--only"], "extract-bio-subjects": ["--limit"], "find-ambiguous": ["--only"], "segment-hashes": ["--update"]}
 NUMBERS = {"limit", "min_mentions", "alive_in_year", "year", "first", "last"}
 
 
@@ -33,6 +39,13 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(p, type=int if p in NUMBERS else str)
         for o in options:
             sub.add_argument(o, type=int if o[2:].replace("-", "_") in NUMBERS else str)
+    for name, places in JOB_PLACES.items():
+        sub = subs.add_parser(name)
+        sub.add_argument("--output", choices=["json", "text"], default="json")
+        for p in places:
+            sub.add_argument(p)
+        for o in JOB_OPTIONS.get(name, []):
+            sub.add_argument(o, type=int if o == "--limit" else str, nargs="+" if o == "--only" else None)
     return out
 
 
@@ -42,8 +55,15 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     from .plans.service import Corpus, QueryError
 
     args = vars(parser().parse_args(argv))
-    command, folder, output = args.pop("command"), args.pop("corpus"), args.pop("output")
+    command, folder, output = args.pop("command"), args.pop("corpus", None), args.pop("output")
     spark = spark or SparkSession.builder.getOrCreate()
+    if command in JOB_PLACES:
+        from .plans.jobs import JOBS
+
+        rows = JOBS[command](spark, **{k: v for k, v in args.items() if v is not None}).collect()
+        for row in rows:
+            print(json.dumps(row.asDict(recursive=True), ensure_ascii=False, default=str) if output == "json" else "\t".join(map(str, row)))
+        return 1 if command == "check" and rows else 0
     corpus = Corpus(*(spark.read.parquet(f"{folder}/{t}") for t in ("segments", "annotations", "chapters", "roster")))
     try:
         rows = getattr(corpus, command.replace("-", "_"))(**{k: v for k, v in args.items() if v is not None})

@@ -94,6 +94,52 @@ def year_label(year: Column) -> Column:
     return F.when(year < 0, F.concat(-year, F.lit(" BCE"))).otherwise(F.concat(F.lit("AD "), year))
 
 
+#: Lower ends of the bands of mentions.
+BANDS = [100, 50, 20, 10, 5, 1, 0]
+
+
+def band(n: Column, edges: list[int] = BANDS) -> Column:
+    """The band of a count, as `lowest+` or `lowest-highest`; null below all."""
+    out = F.lit(None).cast("string")
+    for low, above in sorted(zip(edges, [None, *edges], strict=False), reverse=False):
+        label = f"{low}+" if above is None else str(low) if above == low + 1 else f"{low}-{above - 1}"
+        out = F.when(n >= low, label).otherwise(out)
+    return out
+
+
+def in_bands(counted: DataFrame, n: str, edges: list[int] = BANDS) -> DataFrame:
+    """(band, lowest, n_rows) of the bands that have rows, highest first."""
+    low = F.greatest(*(F.when(F.col(n) >= e, e) for e in edges)) if len(edges) > 1 else F.when(F.col(n) >= edges[0], edges[0])
+    return counted.groupBy(band(F.col(n), edges).alias("band"), low.alias("lowest")).agg(F.count(F.lit(1)).alias("n_rows")).where("band IS NOT NULL").orderBy(F.desc("lowest"))
+
+
+def groups_in_order(rows: DataFrame, key: str, place: str) -> DataFrame:
+    """(key, first_place, n): the groups in the order in which they first appear."""
+    return rows.groupBy(key).agg(F.min(place).alias("first_place"), F.count(F.lit(1)).alias("n")).orderBy("first_place")
+
+
+def numbered(rows: DataFrame, group: str, order: list[str], kind: str = "type") -> DataFrame:
+    """rows with `number`, counted from 1 within each group and kind, as shown beside a text."""
+    return rows.withColumn("number", F.row_number().over(Window.partitionBy(group, kind).orderBy(*order)))
+
+
+def escaped(text: Column) -> Column:
+    """Text as HTML."""
+    for raw, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
+        text = F.replace(text, F.lit(raw), F.lit(name))
+    return text
+
+
+def toc_label(seg_id: Column) -> Column:
+    """A segment's number in its chapter: the id's tail without the p."""
+    return F.regexp_replace(F.substring_index(seg_id, ".", -1), "^p", "")
+
+
+def chapter_route(doc: Column) -> Column:
+    """The address of a chapter's view: `#/chapter/book/juan`."""
+    return F.concat(F.lit("#/chapter/"), F.replace(doc, F.lit("."), F.lit("/")))
+
+
 def linked(text: Column, spans: Column) -> Column:
     """The text with `[surface](id)` for each of the spans (at, length, id), which are in order and do not overlap."""
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))

@@ -13,6 +13,7 @@ KINDS = ["absolute", "relative"]
 RESOLUTIONS = ["absolute", "bare_month", "bare_year", "this_year", "next_year", "prev_year"]
 SCRIPTS = ["traditional", "simplified"]
 SOURCES = ["wikisource", "ctext"]
+ANNOTATION_ID = "^[a-z]+\\.\\d+\\.p\\d+[a-z]*\\.[ath]\\d+$"
 TAGS = {"temporal": "t", "person": "h"}
 
 
@@ -25,10 +26,13 @@ def violations(rows: DataFrame, entity: Column, rules: list[tuple[str, Column]])
 def annotation_rules() -> list[tuple[str, Column]]:
     """Rules on annotations that carry `n_same_id` and `text_length` (null where the chapter's text is missing)."""
     c, temporal = F.col, F.col("type") == "temporal"
-    none = lambda *names: F.greatest(*(c(n).isNull() for n in names)) if len(names) > 1 else c(names[0]).isNull()
     return [
-        ("a required field is missing", none("id", "anchor", "at", "length", "type", "text")),
-        ("the id does not fit", ~c("id").rlike("^[a-z]+\\.\\d+\\.p\\d+[a-z]*\\.[ath]\\d+$")),
+        *((f"{k} is missing", c(k).isNull()) for k in ("id", "anchor", "at", "length", "type", "text")),
+        ("the id is not its segment's", c("text_length").isNotNull() & c("id").rlike(ANNOTATION_ID) & ~F.startswith("id", F.concat("anchor", F.lit(".")))),
+        ("the segment is another chapter's", ~F.startswith("anchor", F.concat("chapter", F.lit(".")))),
+        ("a point has a length", c("type").isin("pei", "lixian") & (c("length") > 0)),
+        ("a person has no id", (c("type") == "person") & c("person_id").isNull()),
+        ("the id does not fit", ~c("id").rlike(ANNOTATION_ID)),
         ("the id is repeated", c("n_same_id") > 1),
         ("the type is unknown", ~c("type").isin(TYPES)),
         ("the segment does not exist", c("chapter_known") & c("text_length").isNull()),
@@ -98,6 +102,35 @@ def decision_error(text: Column, known_person: Column, least: float = 0.7) -> Co
     )
 
 
+#: Kinds of variants, those found by comparison and those given by hand.
+VARIANT_KINDS = ["equal", "variant_char", "textual", "typo", "missing", "extra", "punctuation"]
+
+
+def variant_violations(diffs: DataFrame, segments: DataFrame) -> DataFrame:
+    """Violations of variants (chapter, seg_id, canonical_hash, kind, source_para_no) against segments (seg_id, text)."""
+    full = diffs.join(segments.select("seg_id", canonical_hash(F.col("text")).alias("now")), "seg_id", "left").join(diffs.groupBy("seg_id").agg(F.count(F.lit(1)).alias("n_same")), "seg_id")
+    c = F.col
+    rules = [
+        ("the segment does not exist", c("now").isNull()),
+        ("the segment has changed", c("now") != c("canonical_hash")),
+        ("the kind is unknown", c("kind").isNull() | ~c("kind").isin(VARIANT_KINDS)),
+        ("an equal segment is listed", c("kind") == "equal"),
+        ("the source's paragraph is below 1", c("source_para_no").isNull() | (c("source_para_no") < 1)),
+        ("the segment is another chapter's", ~F.startswith("seg_id", F.concat("chapter", F.lit(".")))),
+        ("the segment is repeated", c("n_same") > 1),
+    ]
+    return violations(full, c("seg_id"), rules)
+
+
+def low_confidence(confidence: Column, least: float = 0.7) -> Column:
+    return F.coalesce(confidence < least, F.lit(False))
+
+
+def summary(files: DataFrame) -> DataFrame:
+    """(n_files, n_failed) of by_file()."""
+    return files.agg(F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("status") == "FAIL").alias("n_failed"))
+
+
 def by_file(found: DataFrame, all_entities: DataFrame, key: str) -> DataFrame:
     """Per file OK or FAIL with the number of violations."""
     n = found.groupBy(F.col("entity_id").alias(key)).agg(F.count(F.lit(1)).alias("n_violations"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FRONT = "path string, work string, work_title string, book string, book_title string, juan int, title string, author string, script string, source_id string, source_url string, retrieved string, source_sha256 string, segments_sha256 string, error string"
@@ -33,7 +35,7 @@ def segments(contents: DataFrame) -> DataFrame:
         seg_id.alias("seg_id"),
         F.regexp_extract(seg_id, "\\.p(\\d+)[a-z]*$", 1).try_cast("int").alias("para_no"),
         F.regexp_extract(seg_id, "\\.p\\d+([a-z]*)$", 1).alias("suffix"),
-        F.trim(F.regexp_extract("raw", pair, 2)).alias("text"),
+        F.btrim(F.regexp_extract("raw", pair, 2), F.lit(" \t\r\n")).alias("text"),
     )
 
 
@@ -42,7 +44,7 @@ def format_errors(contents: DataFrame) -> DataFrame:
     front = F.col("content").rlike("(?s)^---\\n.*?\\n---(\\n|$)")
     body = F.regexp_replace("content", "(?s)^---\\n.*?\\n---\\n", "")
     ids = F.regexp_extract_all(body, F.lit("<a id=\"([^\"]+)\"></a>"), 1)
-    loose = F.trim(F.regexp_extract(body, "(?s)^(.*?)(?:<a id=|$)", 1)) != ""
+    loose = F.btrim(F.regexp_extract(body, "(?s)^(.*?)(?:<a id=|$)", 1), F.lit(" \t\r\n")) != ""
     rules = [(~front, "front matter is missing"), (front & (F.size(ids) == 0), "no segments"), (front & (F.size(ids) > 0) & loose, "text before the first segment"), (F.size(ids) > F.size(F.array_distinct(ids)), "a segment id is repeated")]
     messages = F.array(*(F.when(c, F.lit(m)) for c, m in rules))
     return contents.select("path", F.explode(F.filter(messages, lambda m: m.isNotNull())).alias("message"))
@@ -96,16 +98,66 @@ def front_matter(contents: DataFrame) -> DataFrame:
 
 
 def annotations(contents: DataFrame) -> DataFrame:
-    """Rows of annotation files."""
+    """Rows of annotation files. Files that cannot be read give none; annotation_file_errors() names them."""
     names = [c.split()[0] for c in ANNOTATION.replace("\n", " ").split(",")]
 
     def pick(path, content, load):
-        doc = load(content) or {}
-        return [{"chapter": doc.get("chapter"), **{k: a.get(k) for k in names if k != "chapter"}} for a in doc.get("annotations") or []]
+        try:
+            doc = load(content)
+        except Exception:  # noqa: BLE001  a file that cannot be read is an error row, not the end of the job
+            return []
+        if not isinstance(doc, dict) or not isinstance(doc.get("annotations"), list):
+            return []
+        return [{"chapter": doc.get("chapter"), **{k: a.get(k) for k in names if k != "chapter"}} for a in doc["annotations"] if isinstance(a, dict)]
 
     return _read(contents, pick, ANNOTATION.replace("\n", " "))
 
 
+def annotation_file_errors(contents: DataFrame, sources: list[str]) -> DataFrame:
+    """(path, message) for annotation files that cannot be read or whose head breaks a rule."""
+
+    def pick(path, content, load):
+        try:
+            doc = load(content)
+        except Exception as e:  # noqa: BLE001
+            return [{"path": path, "message": f"the file cannot be read: {type(e).__name__}"}]
+        if not isinstance(doc, dict):
+            return [{"path": path, "message": "the file is not a mapping"}]
+        found = [f"{k} is missing" for k in ("chapter", "source", "annotations") if k not in doc]
+        if not found:
+            head = doc["source"]
+            if not re.fullmatch(r"[a-z]+\.\d+", str(doc["chapter"])):
+                found.append("the chapter does not fit")
+            if not isinstance(head, dict):
+                found.append("the source is not a mapping")
+            else:
+                found += [f"source.{k} is missing" for k in ("id", "url", "retrieved", "sha256") if k not in head]
+                if head.get("id") and head["id"] not in sources:
+                    found.append("the source is unknown")
+                if head.get("sha256") and not re.fullmatch("[0-9a-f]{64}", str(head["sha256"])):
+                    found.append("the hash does not fit")
+            if not isinstance(doc["annotations"], list):
+                found.append("the annotations are not a list")
+            else:
+                found += [f"annotation {n} is not a mapping" for n, a in enumerate(doc["annotations"]) if not isinstance(a, dict)]
+        return [{"path": path, "message": m} for m in found]
+
+    return _read(contents, pick, "path string, message string")
+
+
+def json_rows(spark: SparkSession, path: str, schema: str, pattern: str = "*.json") -> DataFrame:
+    """One row per JSON document below a folder; what cannot be read is a row with `error`."""
+    raw = spark.read.schema(f"{schema}, error string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "error")
+    return raw.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).json(path)
+
+
+def path_kind(path: Column) -> Column:
+    """What a file of a corpus is: text, annotation, variant or skip."""
+    low, yaml_file = F.lower(path), F.lower(path).rlike("\\.ya?ml$")
+    below = lambda folder: path.rlike(f"(^|/){folder}/")
+    return F.when(low.endswith(".md"), "text").when(yaml_file & below("annotations"), "annotation").when(yaml_file & below("variants"), "variant").otherwise("skip")
+
+
 def roster(spark: SparkSession, path: str) -> DataFrame:
     """A people file with `rank` in the file's order. Repeated ids and missing keys are errors."""
     import yaml
@@ -138,6 +190,22 @@ def not_landed(wanted: DataFrame, landed: DataFrame, key: list[str]) -> DataFram
     return wanted.join(landed, key, "left_anti")
 
 
+def to_read(wanted: DataFrame, landed: DataFrame, key: list[str], mode: str = "auto", only: list | None = None, resume: DataFrame | None = None) -> DataFrame:
+    """Manifest rows with what to do about each: `cache`, `fetch` or `missing`.
+
+    auto reads what has landed and fetches the rest; refetch fetches all; no-fetch fetches nothing, so what has not landed is missing. only keeps
+    rows whose first key is listed, resume leaves out those that it has.
+    """
+    if mode not in ("auto", "no-fetch", "refetch"):
+        raise ValueError(f"mode {mode}")
+    rows = wanted if only is None else wanted.where(F.col(key[0]).isin(only))
+    rows = rows if resume is None else rows.join(resume.select(*key).distinct(), key, "left_anti")
+    marked = rows.join(landed.select(*key).distinct().withColumn("_landed", F.lit(True)), key, "left")
+    here = F.col("_landed").isNotNull()
+    action = F.lit("fetch") if mode == "refetch" else F.when(here, "cache").otherwise("missing" if mode == "no-fetch" else "fetch")
+    return marked.withColumn("action", action).drop("_landed")
+
+
 def snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Landed files with the hash of their bytes."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", F.sha2("content", 256).alias("sha256"), "content")
