@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -25,21 +26,32 @@ def bound_batches(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: the session's checkpoint folder.
 
-    Only where none is set (local tests) is one made.
+    Only where none is set and the driver is the only machine (local tests) is one made; on a cluster it must be set.
     """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         at = "file://" + os.path.join(tempfile.gettempdir(), f"checkpoints/{uuid.uuid4().hex}")
         spark.sparkContext.setCheckpointDir(at)
         at = spark.sparkContext.getCheckpointDir()
     return at.rstrip("/")
 
 
+#: Spark's own switch: shuffle files of a finished execution go at once, not when the driver happens to collect garbage.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write a table into the shared folder and read it back, which ends its lineage."""
+    """Write a table into the shared folder and read it back, which ends its lineage; its shuffle files go."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._written = path
     return out
