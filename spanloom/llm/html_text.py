@@ -8,7 +8,7 @@ paragraph or heading inside it is not lost. Tags such as nav, hidden elements an
 a word that is a part of a name only lowers the score of its path. Where the content's holder is the whole body, paths of mostly link text
 (<a href>, until its block ends) are left out too, but no headings.
 
-Pages are independent, so nothing is shuffled. Defined cases: a null, empty or contentless page has an empty
+Pages are independent, so nothing is shuffled, and the time for a page grows in proportion to its length at any depth of nesting. Defined cases: a null, empty or contentless page has an empty
 text; repeated pages give repeated rows; further columns are ignored. Unclosed and misnested tags are read as browsers do
 in the common cases (a block tag ends an open paragraph; end tags close what is open inside them; stray ones are skipped).
 """
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from math import exp
 
 import pyarrow as pa
@@ -27,9 +28,13 @@ from .common import bound_batches
 
 #: Fixed HTML names.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+MATHML = frozenset("math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mtd semantics".split())
+INLINE |= MATHML
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("audio button canvas datalist dialog form head iframe input math menu nav aside footer noframes noscript object optgroup option select svg template textarea title video".split())
+SKIPPED = frozenset("dialog form head iframe input menu nav aside footer noframes noscript optgroup option template textarea title".split())
+#: Elements inside a line of text whose content goes, without ending the line.
+SKIPPED_INLINE = frozenset("annotation annotation-xml audio button canvas datalist meter object progress select svg video".split())
 RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "xmp", "template")
 ENDS_PARAGRAPH = frozenset("address article aside blockquote body center details dialog dd dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: What a start tag closes, if open, up to the named container.
@@ -51,19 +56,25 @@ _TOKEN = re.compile(
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 _NAME = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|itemprop|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _HREF = re.compile(r"(?:^|[\s\"'/])href\s*=", re.I)
+_EITHER = {t: re.compile(rf"<(/?){t}(?=[\s/>])([^>]*)>", re.I) for t in SKIPPED_INLINE}
+CELLS = ("td", "th", "table")
 _NEXT_A = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 SMOOTH = [exp(-k * k / 2) for k in range(-2, 3)]
 SHARE, LINKED = 0.3, 0.6
+#: A link whose end is further away than this ends with its block.
+LINK_CHARS = 10_000
 LOWERED = 0.1  # of the score, where a part of a name is in NOT_CONTENT
 
 
 class _Node:
-    __slots__ = ("tag", "key", "out", "semantic", "weak")
+    """An open element. `number` counts elements in page order, so a parent's is smaller; equal root-to-node tag paths share a `path`."""
 
-    def __init__(self, tag: str, rest: str, parent: _Node | None):
+    __slots__ = ("tag", "number", "parent", "path", "out", "semantic", "weak")
+
+    def __init__(self, tag: str, rest: str, parent: _Node | None, number: int, paths: dict[tuple[int, str], int]):
         names: list[str] = []
         hidden = False
         semantic = tag in ("article", "main")
@@ -78,8 +89,9 @@ class _Node:
                 hidden |= "display:none" in value.replace(" ", "").lower()
             else:
                 hidden |= name == "hidden" or value.lower() == "true"
-        self.tag = tag
-        self.key = f"{tag}.{'.'.join(names)}" if names else tag
+        self.tag, self.number, self.parent = tag, number, parent
+        key = f"{tag}.{'.'.join(names)}" if names else tag
+        self.path = paths.setdefault((parent.path if parent else 0, key), len(paths) + 1)
         out = hidden or tag in SKIPPED or (tag == "header" and not (parent and parent.semantic))
         weak = False
         if tag not in ("html", "body", "main"):
@@ -91,21 +103,66 @@ class _Node:
 
 
 class Block:
-    __slots__ = ("nodes", "text", "links", "path", "out", "weak")
+    __slots__ = ("node", "text", "links", "path", "out", "weak")
+
+    def __init__(self, node: _Node | None, text: str, links: int):
+        self.node, self.text, self.links = node, text, links
+        self.path = node.path if node else 0
+        self.out = bool(node and node.out)
+        self.weak = bool(node and node.weak)
+
+
+class _Open:
+    """The stack of open elements, with the places of each tag."""
+
+    def __init__(self):
+        self.nodes: list[_Node] = []
+        self.every: list[_Node] = []
+        self.paths: dict[tuple[int, str], int] = {}
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, tag: str, rest: str) -> None:
+        node = _Node(tag, rest, self.nodes[-1] if self.nodes else None, len(self.every), self.paths)
+        self.every.append(node)
+        self.places.setdefault(tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, index: int) -> None:
+        for node in self.nodes[index:]:
+            self.places[node.tag].pop()
+        del self.nodes[index:]
 
-    def __init__(self, nodes: list[_Node], text: str, links: int):
-        self.nodes, self.text, self.links = tuple(nodes), text, links
-        self.path = "/".join(n.key for n in nodes)
-        self.out = bool(nodes) and nodes[-1].out
-        self.weak = bool(nodes) and nodes[-1].weak
+    def last(self, *tags: str) -> int:
+        """The highest place of any of the tags, or -1."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
 
+    def first_above(self, place: int, tags) -> int:
+        """The lowest place above `place` of any of the tags, or -1."""
+        found = [own[k] for t in tags if (own := self.places.get(t)) and (k := bisect_right(own, place)) < len(own)]
+        return min(found, default=-1)
 
-def blocks(page: str) -> list[Block]:
-    """The page's text blocks in order, white space already single."""
+
+def _inline_end(page: str, tag: str, at: int, open_ended: set[str]) -> int:
+    """Where an element inside a line ends; right here if it has no end tag."""
+    if tag in open_ended:
+        return at
+    depth = 1
+    for m in _EITHER[tag].finditer(page, at):
+        depth += -1 if m[1] else 0 if m[2].rstrip().endswith("/") else 1
+        if not depth:
+            return m.end()
+    open_ended.add(tag)
+    return at
+
+
+def blocks(page: str) -> tuple[list[Block], list[_Node]]:
+    """The page's text blocks in order, white space already single, and all its block elements."""
     found: list[Block] = []
-    stack: list[_Node] = []
+    stack = _Open()
+    nodes = stack.nodes
     parts: list[str] = []
     linked: list[str] = []
+    open_ended: set[str] = set()
     in_link, link_depth = 0, 0  # 1: in a link; 2: in one without an end, which its block ends. The stack's size where it began
     at, n = 0, len(page)
 
@@ -116,7 +173,7 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                found.append(Block(stack, text, len(" ".join("".join(linked).split()))))
+                found.append(Block(nodes[-1] if nodes else None, text, len(" ".join("".join(linked).split()))))
             parts.clear()
             linked.clear()
 
@@ -125,7 +182,7 @@ def blocks(page: str) -> list[Block]:
         flush()
         if index < link_depth:
             in_link = 0
-        del stack[index:]
+        stack.cut(index)
 
     while at < n:
         m = _TOKEN.match(page, at)
@@ -141,73 +198,72 @@ def blocks(page: str) -> list[Block]:
             continue
         if m["tag"] is None:
             continue
-        tag = m["tag"].lower()
+        tag, rest = m["tag"].lower(), m["rest"] or ""
         if m["end"]:
             if tag == "a":
                 in_link = 0
-            if tag in INLINE:
+            if tag in INLINE or tag in SKIPPED_INLINE:
                 continue
             if tag == "br":
                 parts.append(" ")
                 continue
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == tag:
-                    close(i)
-                    break
-                if stack[i].tag in ("td", "th", "table") and tag in ("p", "div", "li"):
-                    break
+            place = stack.last(tag)
+            if place >= 0 and not (tag in ("p", "div", "li") and stack.last(*CELLS) > place):
+                close(place)
             continue
         if tag in _RAW_END:
             end = _RAW_END[tag].search(page, at)
             at = end.end() if end else n
             continue
+        if tag in SKIPPED_INLINE:
+            if not rest.rstrip().endswith("/"):
+                at = _inline_end(page, tag, at, open_ended)
+            continue
         if tag in INLINE:
             if tag == "a":
-                in_link, link_depth = 0, len(stack)
-                if _HREF.search(m["rest"] or ""):
-                    end = _NEXT_A.search(page, at)
-                    in_link = 1 if end and end[1] else 2
+                in_link, link_depth = 0, len(nodes)
+                if _HREF.search(rest):
+                    in_link = 1 if _link_ends(page, at) else 2
             continue
         if tag in VOID:
             if tag == "br":
                 parts.append(" ")
             elif tag == "hr":
-                if stack and stack[-1].tag == "p":
-                    close(len(stack) - 1)
+                if nodes and nodes[-1].tag == "p":
+                    close(len(nodes) - 1)
                 flush()
             continue
-        if tag in ("html", "body") and any(x.tag == tag for x in stack):
+        if tag in ("html", "body") and stack.last(tag) >= 0:
             continue
         flush()
         if tag in ENDS_PARAGRAPH:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == "p":
-                    close(i)
-                    break
-                if stack[i].tag in ("td", "th", "table"):
-                    break
-            if tag[0] == "h" and tag[1:].isdigit() and stack and stack[-1].tag[0] == "h" and stack[-1].tag[1:].isdigit():
-                close(len(stack) - 1)
+            place = stack.last("p")
+            if place > stack.last(*CELLS):
+                close(place)
+            if tag in HEADINGS and nodes and nodes[-1].tag in HEADINGS:
+                close(len(nodes) - 1)
         if tag in CLOSES:
             closed, until = CLOSES[tag]
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag in until:
-                    break
-                if stack[i].tag in closed:
-                    close(i)
-                    if tag != "tr":
-                        break
-        if tag == "body" and stack and stack[-1].tag == "head":
-            close(len(stack) - 1)
-        if not (m["rest"] or "").rstrip().endswith("/") or tag not in ("svg", "path"):
-            stack.append(_Node(tag, m["rest"] or "", stack[-1] if stack else None))
+            bound = stack.last(*until)
+            place = stack.first_above(bound, closed) if tag == "tr" else stack.last(*closed)
+            if place > bound:
+                close(place)
+        if tag == "body" and nodes and nodes[-1].tag == "head":
+            close(len(nodes) - 1)
+        stack.push(tag, rest)
     flush()
-    return found
+    return found, stack.every
 
 
-def path_scores(found: list[Block]) -> tuple[list[float], dict[str, list[float]]]:
+def _link_ends(page: str, at: int) -> bool:
+    """Whether the next tag of a link is its end."""
+    end = _NEXT_A.search(page, at, at + LINK_CHARS)
+    return bool(end and end[1])
+
+
+def path_scores(found: list[Block]) -> tuple[list[float], dict[int, list[float]]]:
     """Each block's fused score, and per path: blocks, text length, punctuation, link text."""
-    paths: dict[str, list[float]] = {}
+    paths: dict[int, list[float]] = {}
     for b in found:
         p = paths.setdefault(b.path, [0, 0, 0, 0])
         p[0] += 1
@@ -235,7 +291,7 @@ def path_scores(found: list[Block]) -> tuple[list[float], dict[str, list[float]]
 
 
 def main_text(page: str | None) -> str:
-    found = blocks(page or "")
+    found, nodes = blocks(page or "")
     if not found:
         return ""
     scores, paths = path_scores(found)
@@ -243,27 +299,36 @@ def main_text(page: str | None) -> str:
     if not weight:
         return ""
     mean = sum(s * len(b.text) for b, s in zip(found, scores, strict=True)) / weight
-    strong = [b for b, s in zip(found, scores, strict=True) if s >= SHARE * mean and s > 0]
-    held: dict[int, int] = {}
-    nodes: dict[int, tuple[int, _Node]] = {}
+    content = {b.path for b, s in zip(found, scores, strict=True) if s >= SHARE * mean and s > 0}
+    held = [0] * len(nodes)  # content text below each element
+    depth = [0] * len(nodes)
     total = 0
-    for b in strong:
-        total += len(b.text)
-        for depth, node in enumerate(b.nodes):
-            held[id(node)] = held.get(id(node), 0) + len(b.text)
-            nodes[id(node)] = (depth, node)
-    named = [k for k, (_, node) in nodes.items() if node.semantic and node.tag != "header" and 2 * held[k] >= total]
+    for b, s in zip(found, scores, strict=True):
+        if s >= SHARE * mean and s > 0:
+            total += len(b.text)
+            if b.node:
+                held[b.node.number] += len(b.text)
+    for node in reversed(nodes):
+        if node.parent:
+            held[node.parent.number] += held[node.number]
+    for node in nodes:
+        depth[node.number] = depth[node.parent.number] + 1 if node.parent else 0
+    named = [x for x in nodes if x.semantic and x.tag != "header" and held[x.number] and 2 * held[x.number] >= total]
     if named:
-        most = max(held[k] for k in named)
-        holder = max((k for k in named if held[k] >= 0.95 * most), key=lambda k: nodes[k][0])
+        most = max(held[x.number] for x in named)
+        holder = max((x for x in named if held[x.number] >= 0.95 * most), key=lambda x: (depth[x.number], -x.number))
     else:
-        holder = max((k for k in held if held[k] == total), key=lambda k: nodes[k][0], default=None)
-    article = holder is not None and nodes[holder][1].tag not in ("html", "body")
+        holder = max((x for x in nodes if held[x.number] == total), key=lambda x: depth[x.number], default=None)
+    inside = [False] * len(nodes)
+    for node in nodes:
+        inside[node.number] = node is holder or bool(node.parent and inside[node.parent.number])
+    article = holder is not None and holder.tag not in ("html", "body")
     out = []
     for b in found:
-        inside = holder is None or any(id(node) == holder for node in b.nodes)
-        heading = bool(b.nodes) and b.nodes[-1].tag in HEADINGS
-        if inside and not b.out and (article or heading or paths[b.path][3] <= LINKED * paths[b.path][1]):
+        heading = bool(b.node) and b.node.tag in HEADINGS
+        if b.out or (holder is not None and not (b.node and inside[b.node.number])):
+            continue
+        if article or heading or b.path in content or paths[b.path][3] <= LINKED * paths[b.path][1]:
             out.append(b.text)
     return "\n\n".join(out)
 

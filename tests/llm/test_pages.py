@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import time
 
 import duckdb
 import pytest
@@ -123,3 +124,33 @@ def test_links_in_the_article(open_, close, top):
     got = html_text.main_text(f"<html><body>{NOISE}{open_}{body}{sources}{text}{close}{REST}</body></html>").split("\n\n")
     line = "The first paragraph, with some words. It goes on."
     assert [x for x in got if x != "Top"] == ["Title", line, "Other", line, *(["A source, linked", "Another"] if open_ else []), line]
+
+
+@pytest.mark.parametrize("page", ["<div>" * 400_000, "<div>x" * 300_000, "<p>" * 300_000 + "</td>" * 200_000, "<table><td>" + "<section>" * 150_000 + "</p>" * 150_000, "<svg>" * 400_000, "<a href=x>" * 200_000, "<ul><li>" * 200_000])
+def test_two_megabytes_of_nested_tags(page):
+    began = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - began < 10
+
+
+def test_elements_inside_a_line():
+    page = "<article><p>Sum <math><mi>x</mi><annotation>x</annotation></math> of <svg><text>no</text></svg>all, <button>Go</button>and more.</p><p>A second paragraph, as long.</p></article>"
+    assert html_text.main_text(page) == "Sum x of all, and more.\n\nA second paragraph, as long."
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_article_without_a_name(order):
+    """Tag paths alone find the article, before and after lists of links and short notes."""
+    prose = [f"<p>Paragraph number {i}, with words that go on for a while; it has marks, and it ends.</p>" for i in range(8)]
+    article = f"<table><tr><td>{''.join(prose)}</td></tr></table>"
+    links = "<div>" + "".join(f"<span><a href='/{i}'>Entry number {i}</a></span>" for i in range(30)) + "</div>"
+    got = html_text.main_text(f"<html><body>{''.join([links, article][::order])}</body></html>")
+    assert got.split("\n\n") == [html.unescape(re.sub("<.*?>", "", p)) for p in prose]
+
+
+def test_tables_of_pages(spark):
+    rows = [(1, "u", "<article><p>One sentence, and another.</p></article>", "a", 5)] * 3 + [(None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    got = html_text.extract(df).collect()
+    assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "", 0)] + [(1, "One sentence, and another.", 26)] * 3
+    assert html_text.extract(df.limit(0)).count() == 0
