@@ -2,8 +2,9 @@
 
 The windows of all benchmark items form one automaton over normalised words. Each text is scanned
 once; offsets of the normalised text lead back to words and to the original text. Documents are not
-shuffled: the automaton is sent to the executors, and its size is checked first. Items beyond the
-bound go into further automata, and a text is scanned by each of them.
+shuffled: the automaton is sent to the executors, and its size is bounded by MAX_PATTERN_BYTES. A benchmark
+beyond the bound is read in parts, one after another, each an automaton of its own with a pass over the documents; the
+driver and a task hold one part at a time, and what a pass has found is written to the shared folder.
 
 Defined cases: a null or empty text, or one without word characters, has no words and no hits. Items
 that are null or have no words have no windows. Items with the same id count once in n_items; an item
@@ -14,14 +15,14 @@ ignored (`contamination`) or kept (`clean`).
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, text_bytes
+from .common import bound_batches, cut, drop_cut, text_bytes
 
 WINDOW = 10
 #: Bytes of window patterns in one automaton; about forty times as much is its memory.
@@ -40,7 +41,7 @@ def normal_words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_NORMAL).split()
 
 
-def patterns(items: Iterator[tuple[int | None, bytes | None]], window: int = WINDOW) -> dict[str, tuple[int, set]]:
+def patterns(items: Iterable[tuple[int | None, bytes | None]], window: int = WINDOW) -> dict[str, tuple[int, set]]:
     """Each window's normalised text with spaces around it -> its number of words and its item ids."""
     out: dict[str, tuple[int, set]] = {}
     for item_id, text in items:
@@ -51,84 +52,105 @@ def patterns(items: Iterator[tuple[int | None, bytes | None]], window: int = WIN
     return out
 
 
-def blocks(found: dict[str, tuple[int, set]], most: int = MAX_PATTERN_BYTES) -> list[list[tuple[str, int, tuple]]]:
-    """The patterns in as many parts as keep each automaton below the bound."""
-    out, size = [[]], 0
-    for p, (n, ids) in found.items():
-        if size + len(p) > most and out[-1]:
-            out.append([])
-            size = 0
-        size += len(p)
-        out[-1].append((p, n, tuple(ids)))
-    return [x for x in out if x]
+def parts(items: Iterable[tuple[int | None, bytes | None]], window: int = WINDOW, most: int = MAX_PATTERN_BYTES) -> Iterator[list[tuple[str, int, tuple]]]:
+    """The patterns of as many items as keep an automaton below the bound (an item alone may exceed it); at least one part."""
+    found: dict[str, tuple[int, set]] = {}
+    size, any_ = 0, False
+    for item in items:
+        own = patterns([item], window)
+        more = sum(map(len, own))
+        if found and size + more > most:
+            yield [(p, n, tuple(ids)) for p, (n, ids) in found.items()]
+            found, size, any_ = {}, 0, True
+        for p, (n, ids) in own.items():
+            size += 0 if p in found else len(p)
+            found.setdefault(p, (n, set()))[1].update(ids)
+    if found or not any_:
+        yield [(p, n, tuple(ids)) for p, (n, ids) in found.items()]
 
 
 _BUILT: dict = {}
 
 
-def _automata(key: str, parts) -> list:
-    """The automata of this worker, built once."""
+def _automaton(key: str, part):
+    """The automaton of this worker, built once."""
     if key not in _BUILT:
         import ahocorasick
 
         _BUILT.clear()
-        made = []
-        for part in parts:
-            a = ahocorasick.Automaton()
-            for p, n, ids in part:
-                a.add_word(p, (len(p), n, ids))
+        a = ahocorasick.Automaton()
+        for p, n, ids in part:
+            a.add_word(p, (len(p), n, ids))
+        if part:
             a.make_automaton()
-            made.append(a)
-        _BUILT[key] = made
+        _BUILT[key] = a if part else None
     return _BUILT[key]
 
 
-def _scan(automata: list, text: bytes | None) -> tuple[list[bytes], list[tuple[int, int, tuple]]]:
-    """The words, and (first word, word after the last, item ids) for each occurrence."""
-    words = normal_words(text)
-    if not words:
-        return words, []
+def _scan(automaton, words: list[bytes]) -> list[tuple[int, int, tuple]]:
+    """(first word, word after the last, item ids) for each occurrence."""
+    if not words or automaton is None:
+        return []
     flat = f" {b' '.join(words).decode('latin-1')} "
     hits, starts = [], None
-    for a in automata:
-        for end, (length, n, ids) in a.iter(flat):
-            if starts is None:
-                starts = np.cumsum([0, *map(len, words)]) + np.arange(len(words) + 1)
-            first = int(np.searchsorted(starts, end - length + 1))
-            hits.append((first, first + n, ids))
-    return words, hits
+    for end, (length, n, ids) in automaton.iter(flat):
+        if starts is None:
+            starts = np.cumsum([0, *map(len, words)]) + np.arange(len(words) + 1)
+        first = int(np.searchsorted(starts, end - length + 1))
+        hits.append((first, first + n, ids))
+    return hits
 
 
-def _windows(items: DataFrame, window: int):
-    """The benchmark is the small, curated side; its size is bounded by the number of automata."""
+def _sent(items: DataFrame, window: int, most: int):
+    """(key, broadcast) of each part, one at a time."""
     rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("binary")).toLocalIterator()
-    parts = blocks(patterns(((r[0], None if r[1] is None else bytes(r[1])) for r in rows), window))
-    key = hashlib.sha256(repr(parts).encode()).hexdigest()
-    return parts, key
+    for part in parts(((r[0], None if r[1] is None else bytes(r[1])) for r in rows), window, most):
+        yield hashlib.sha256(repr(part).encode()).hexdigest(), items.sparkSession.sparkContext.broadcast(part)
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+#: A hit as three numbers: first word, word after the last, item id; and whether the id is null.
+_HIT = np.dtype([("first", "<i8"), ("last", "<i8"), ("item", "<i8"), ("none", "?")])
+
+
+def _with_hits(docs: DataFrame, items: DataFrame, window: int, most: int) -> DataFrame:
+    """docs(doc_id, text) with `hits`, one scan of the documents for each part of the benchmark."""
+    bound_batches(docs.sparkSession)
+    now = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("hits", F.lit(None).cast("binary"))
+    written = None
+    for n, (key, sent) in enumerate(_sent(items, window, most)):
+
+        def run(batches, key=key, sent=sent):
+            automaton = _automaton(key, sent.value)
+            for batch in batches:
+                out = []
+                for text, known in zip(text_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                    hits = [(a, b, 0 if i is None else i, i is None) for a, b, ids in _scan(automaton, normal_words(text)) for i in ids]
+                    out.append((known or b"") + np.array(hits, _HIT).tobytes())
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["doc_id", "text", "hits"])
+
+        if n:
+            now = cut(now, "scanned")
+            if written is not None:
+                drop_cut(written)
+            written = now
+        now = now.mapInArrow(run, "doc_id long, text string, hits binary")
+    return now
+
+
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = MAX_PATTERN_BYTES) -> DataFrame:
     """One row per document: words, hit words, occurring items, and whether anything was hit."""
-    spark = docs.sparkSession
-    bound_batches(spark)
-    parts, key = _windows(items, window)
-    sent = spark.sparkContext.broadcast(parts)
 
     def run(batches):
-        automata = _automata(key, sent.value)
         for batch in batches:
             n_words, n_hit, n_items, digests = [], [], [], []
-            for text in text_bytes(batch.column(1)):
-                words, hits = _scan(automata, text)
+            for text, data in zip(text_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                words, hits = normal_words(text), np.frombuffer(data or b"", _HIT)
                 covered = np.zeros(len(words) + 1, np.int64)
-                ids = set()
-                for first, last, own in hits:
-                    covered[first] += 1
-                    covered[last] -= 1
-                    ids.update(own)
-                ids.discard(None)
+                np.add.at(covered, hits["first"], 1)
+                np.add.at(covered, hits["last"], -1)
+                ids = set(hits["item"][~hits["none"]].tolist())
                 n_words.append(len(words))
-                n_hit.append(int((np.cumsum(covered) > 0).sum()) if hits else 0)
+                n_hit.append(int((np.cumsum(covered) > 0).sum()) if len(hits) else 0)
                 n_items.append(len(ids))
                 digests.append(hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
@@ -136,52 +158,51 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
                 names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, RESULT)
+    return _with_hits(docs, items, window, most).mapInArrow(run, RESULT)
 
 
-def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = MAX_PATTERN_BYTES) -> DataFrame:
     """One row per occurrence and item; start and end are code points of the original text."""
-    spark = docs.sparkSession
-    bound_batches(spark)
-    parts, key = _windows(items, window)
-    sent = spark.sparkContext.broadcast(parts)
 
     def run(batches):
         import re
 
         word = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
-        automata = _automata(key, sent.value)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
-                _, hits = _scan(automata, text)
-                if not hits:
+            for doc_id, text, data in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                hits = np.frombuffer(data or b"", _HIT)
+                if not len(hits):
                     continue
                 at = [m.span() for m in word.finditer(text)]
                 points = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)  # code points up to each byte
-                for first, last, ids in hits:
+                for first, last, item, none in dict.fromkeys(hits.tolist()):
                     a, b = at[first][0], at[last - 1][1]
-                    rows += [(doc_id, i, int(points[a]) - 1, int(points[b - 1]), first, last - 1) for i in ids]
+                    rows.append((doc_id, None if none else item, int(points[a]) - 1, int(points[b - 1]), first, last - 1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in rows], pa.int64()) for k in range(6)],
                 names=["doc_id", "item_id", "start", "end", "first_word", "last_word"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SPANS)
+    return _with_hits(docs, items, window, most).mapInArrow(run, SPANS)
 
 
-def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents without a hit, with all their columns. One scan, no join: the verdict is computed beside the row."""
-    spark = docs.sparkSession
-    bound_batches(spark)
-    parts, key = _windows(items, window)
-    sent = spark.sparkContext.broadcast(parts)
+def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = MAX_PATTERN_BYTES) -> DataFrame:
+    """The documents without a hit, with all their columns. No join: the verdict is computed beside the row."""
+    bound_batches(docs.sparkSession)
     at = docs.columns.index("text")
-
-    def run(batches):
-        automata = _automata(key, sent.value)
-        for batch in batches:
-            keep = pa.array([not _scan(automata, t)[1] for t in text_bytes(batch.column(at))], pa.bool_())
-            yield batch.filter(keep)
-
-    return docs.mapInArrow(run, docs.schema)
+    now, written = docs, None
+    for n, (key, sent) in enumerate(_sent(items, window, most)):
+
+        def run(batches, key=key, sent=sent):
+            automaton = _automaton(key, sent.value)
+            for batch in batches:
+                yield batch.filter(pa.array([not _scan(automaton, normal_words(t)) for t in text_bytes(batch.column(at))], pa.bool_()))
+
+        if n:
+            now = cut(now, "scanned")
+            if written is not None:
+                drop_cut(written)
+            written = now
+        now = now.mapInArrow(run, docs.schema)
+    return now

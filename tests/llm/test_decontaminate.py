@@ -54,11 +54,15 @@ def test_small_cases(spark):
     assert got == sorted(brute(DOCS, ITEMS), key=str)
 
 
-def test_several_automata(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate.blocks, "__defaults__", (20,))
+def test_several_automata(spark):
+    """Benchmarks beyond an automaton's bound are read in parts, with the same results."""
     docs, items = frames(spark, DOCS, ITEMS)
-    got = sorted(map(tuple, decontaminate.contamination(docs, items).collect()), key=str)
+    assert len(list(decontaminate.parts([(i, None if t is None else t.encode()) for i, t in ITEMS], most=20))) > 2
+    got = sorted(map(tuple, decontaminate.contamination(docs, items, most=20).collect()), key=str)
     assert got == sorted(brute(DOCS, ITEMS), key=str)
+    key = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert key(decontaminate.clean(docs, items, most=20)) == key(decontaminate.clean(docs, items))
+    assert key(decontaminate.occurrences(docs, items, most=20)) == key(decontaminate.occurrences(docs, items))
 
 
 def test_empty_tables(spark):
