@@ -1,8 +1,8 @@
 """Chat formatting of reply trees.
 
-Rows are nodes of trees. Iterative self-joins (pointer jumping) enumerate the path from every leaf to its root; the paths of a tree are
-ranked by the sum of their nodes' scores, and each chosen path is formatted as one conversation. Rounds grow with the logarithm of the
-deepest tree. A turn is `<|im_start|>role\\ntext<|im_end|>\\n`; inside roles and texts a backslash is doubled, `<|` becomes `<\\|` and, in
+Rows are nodes of trees. Iterative self-joins (pointer jumping) enumerate the paths from leaves to roots: first each leaf's score alone, the sum of
+its path's nodes, by which the paths of a tree are ranked; then the nodes of the chosen paths, each formatted as one conversation. So paths that are not
+chosen are never built. Rounds grow with the logarithm of the deepest tree. A turn is `<|im_start|>role\\ntext<|im_end|>\\n`; inside roles and texts a backslash is doubled, `<|` becomes `<\\|` and, in
 roles, a line break becomes `\\n` written as backslash and n, so formatted text reads back exactly.
 
 The loss mask covers the assistant's texts: spans of code points of the formatted conversation.
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, cut
+from .common import bound_batches, cut, drop_cut
 from .jumping import reach
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -50,14 +50,43 @@ def unescape(text: str, role: bool = False) -> str:
     return "".join(out)
 
 
-def paths(nodes: DataFrame) -> DataFrame:
-    """(tree, leaf, node, dist): the nodes from each leaf to its root. nodes has tree, node and parent (all not null but parent)."""
+def _links(nodes: DataFrame) -> DataFrame:
+    """(scope, at, to): each node with its parent, where that exists."""
     known = nodes.select("tree", F.col("node").alias("parent"))
-    up = nodes.where("parent IS NOT NULL").join(known, ["tree", "parent"], "left_semi").select(F.col("tree").alias("scope"), F.col("node").alias("at"), F.col("parent").alias("to"))
-    leaves = nodes.join(up.select(F.col("scope").alias("tree"), F.col("to").alias("node")).distinct(), ["tree", "node"], "left_anti")
-    longest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    starts = leaves.select(F.col("tree").alias("scope"), F.col("node").alias("origin"), F.col("node").alias("at"))
-    return reach(starts, up, longest).select(F.col("scope").alias("tree"), F.col("origin").alias("leaf"), F.col("at").alias("node"), "dist")
+    return nodes.where("parent IS NOT NULL").join(known, ["tree", "parent"], "left_semi").select(F.col("tree").alias("scope"), F.col("node").alias("at"), F.col("parent").alias("to"))
+
+
+def _longest(nodes: DataFrame) -> int:
+    return nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+
+
+def leaves(nodes: DataFrame) -> DataFrame:
+    """(tree, leaf, path_score): the leaves whose path reaches a root, with the sum of its scores.
+
+    In each round a node's sum takes in the sum of the node that it points to, and points where that one does.
+    """
+    up = _links(nodes)
+    now = cut(nodes.join(up.select(F.col("scope").alias("tree"), F.col("at").alias("node"), "to").distinct(), ["tree", "node"], "left").select("tree", "node", "to", F.col("score").cast("double").alias("total")), "sums")
+    ends = now.join(up.select(F.col("scope").alias("tree"), F.col("to").alias("node")).distinct(), ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf")).distinct()
+    ends = cut(ends, "leaves")
+    span, longest = 1, _longest(nodes)
+    while span <= longest and not now.where("to IS NOT NULL").isEmpty():
+        above = now.select("tree", F.col("node").alias("to"), F.col("to").alias("further"), F.col("total").alias("more"))
+        joined = now.where("to IS NOT NULL").join(above, ["tree", "to"]).select("tree", "node", F.col("further").alias("to"), (F.col("total") + F.col("more")).alias("total"))
+        after = cut(now.where("to IS NULL").unionByName(joined), "sums")
+        drop_cut(now)
+        now = after
+        span *= 2
+    return ends.join(now.where("to IS NULL").select("tree", F.col("node").alias("leaf"), F.col("total").alias("path_score")), ["tree", "leaf"])
+
+
+def paths(nodes: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
+    """(tree, leaf, node, dist): the nodes from each leaf, or each of chosen(tree, leaf), to its root. nodes has tree, node and parent (all not null but parent)."""
+    up = _links(nodes)
+    if chosen is None:
+        chosen = nodes.join(up.select(F.col("scope").alias("tree"), F.col("to").alias("node")).distinct(), ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"))
+    starts = chosen.select(F.col("tree").alias("scope"), F.col("leaf").alias("origin"), F.col("leaf").alias("at"))
+    return reach(starts, up, _longest(nodes)).select(F.col("scope").alias("tree"), F.col("origin").alias("leaf"), F.col("at").alias("node"), "dist")
 
 
 def formatted(nodes: DataFrame, best: int = 1) -> DataFrame:
@@ -66,21 +95,19 @@ def formatted(nodes: DataFrame, best: int = 1) -> DataFrame:
     nodes has tree, node, parent, score, role and text; the `best` highest-scored paths of each tree are chosen, ties by the smaller leaf.
     """
     nodes = cut(nodes.select("tree", "node", "parent", "score", "role", "text"), "nodes")
-    full = paths(nodes).join(nodes, ["tree", "node"])
+    rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("path_score"), "leaf"))
+    chosen = cut(leaves(nodes).withColumn("rank", rank).where(F.col("rank") <= best), "chosen")
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    turn = F.struct(F.negative("dist").alias("place"), escape_role(role).alias("role"), escape(text).alias("text"), (role == LOSS_ROLE).alias("loss"))
-    whole = full.groupBy("tree", "leaf").agg(F.sum("score").alias("path_score"), F.array_sort(F.collect_list(turn)).alias("turns"))
-    ranked = whole.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("path_score"), "leaf"))).where(F.col("rank") <= best)
-    line = lambda t: F.concat(F.lit(START), t["role"], F.lit("\n"), t["text"], F.lit(f"{END}\n"))
-    empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,size:long>>").alias("spans"))
-
-    def mask(state: Column, t: Column) -> Column:
-        start = state["at"] + len(START) + 1 + F.length(t["role"])
-        size = F.length(t["text"]).cast("long")
-        spans = F.when(t["loss"], F.array_append(state["spans"], F.struct(start.alias("start"), size.alias("size")))).otherwise(state["spans"])
-        return F.struct((start + size + len(END) + 1).alias("at"), spans.alias("spans"))
-
-    return ranked.select("tree", "leaf", "rank", "path_score", F.array_join(F.transform("turns", line), "").alias("formatted"), F.aggregate("turns", empty, mask, lambda s: s["spans"]).alias("loss"))
+    turns = paths(nodes, chosen).join(nodes, ["tree", "node"]).select("tree", "leaf", "dist", escape_role(role).alias("role"), escape(text).alias("text"), (role == LOSS_ROLE).alias("loss"))
+    line = F.concat(F.lit(START), F.col("role"), F.lit("\n"), F.col("text"), F.lit(f"{END}\n"))
+    before = F.sum(F.length("line")).over(Window.partitionBy("tree", "leaf").orderBy(F.desc("dist")).rowsBetween(Window.unboundedPreceding, -1))
+    turns = turns.withColumn("line", line).withColumn("start", F.coalesce(before, F.lit(0)) + len(START) + 1 + F.length("role"))
+    span = F.struct(F.col("start").cast("long").alias("start"), F.length("text").cast("long").alias("size"))
+    whole = turns.groupBy("tree", "leaf").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.negative("dist").alias("place"), "line"))), lambda t: t["line"]), "").alias("formatted"),
+        F.array_sort(F.collect_list(F.when(F.col("loss"), span))).alias("loss"),
+    )
+    return whole.join(chosen, ["tree", "leaf"]).select("tree", "leaf", "rank", "path_score", "formatted", "loss")
 
 
 def turns_of(formatted: str) -> list[tuple[str, str]]:
