@@ -1,8 +1,8 @@
 """WARC archives: writing with revisit records, and reading by boundary-chain verification.
 
 Writing: payloads of at least MIN_REVISIT bytes that are equal share one response record, that of the largest page_id; the
-others are revisit records without the payload. Archives are plain text files in which Spark's writer puts the record separator, about
-ARCHIVE_BYTES each.
+others are revisit records without the payload. Records are put together up to ARCHIVE_BYTES, and Spark's text writer writes each such
+row as an archive, so none is larger than that and one record.
 
 Reading: a task looks at one archive and emits every place that looks like the start of a record, with the offset of
 its successor by the record's own length, without knowing which are real. Pointer jumping from offset 0
@@ -10,7 +10,8 @@ then keeps the places that a chain of records reaches, so that a record header i
 
 Defined cases: a null or empty page is a response of 0 bytes; a null url has no target header; line breaks in a url become spaces. A page_id
 that occurs in several rows has a record for each; rows with the same payload and that same largest id are all
-responses. A record cut off by the archive's end is not returned. An empty table gives no archive and no rows.
+responses. A record cut off by the archive's end, or whose payload does not have its digest, is marked not ok by `read` and stops
+`round_trip` with an error. An empty table gives no archive and no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import bound_batches, cut, drop_cut, shared_dir, text_bytes
 from .jumping import reach
 
 MIN_REVISIT = 1000
@@ -70,11 +71,30 @@ def record(row: DataFrame | None = None) -> Column:
     )
 
 
+def _together(most: int):
+    """Rows of records with separators between them, of `most` bytes or one record."""
+
+    def run(batches):
+        held, size = [], 0
+        end = SEPARATOR.encode()
+        for batch in batches:
+            for text in text_bytes(batch.column(0)):
+                if held and size + len(text) > most:
+                    yield pa.RecordBatch.from_arrays([pa.array([end.join(held)], pa.binary()).cast(pa.string())], names=["record"])
+                    held, size = [], 0
+                held.append(text)
+                size += len(text) + len(end)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([end.join(held)], pa.binary()).cast(pa.string())], names=["record"])
+
+    return run
+
+
 def write(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Write pages as archives below path. The files' size follows from the mean record, a page is never split."""
-    n, total = pages.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("html")), F.lit(0))).first()
-    per_file = max(1, int(archive_bytes // (total / n + 500))) if n else 1
-    typed(pages).select(record().alias("record")).write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", per_file).text(path)
+    """Write pages as archives below path; a page is never split."""
+    bound_batches(pages.sparkSession)
+    rows = typed(pages).select(record().alias("record")).mapInArrow(_together(archive_bytes), "record string")
+    rows.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", 1).text(path)
 
 
 _FIELD = re.compile(rb"([^\r\n:]+):[ \t]*([^\r\n]*)\r\n")
@@ -126,8 +146,6 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The archives' records that a chain from the file's start reaches."""
-    from .common import cut
-
     found = cut(candidates(spark, path), "warc-candidates")
     longest = found.groupBy("scope").count().agg(F.max("count")).first()[0] or 0
     pointers = found.join(found.select("scope", F.col("at").alias("to")), ["scope", "to"], "left_semi")
@@ -140,4 +158,6 @@ def round_trip(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write(pages, path)
-    return read(spark, path).where("ok").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    bad = F.raise_error(F.concat(F.lit("record at "), F.col("at").cast("string"), F.lit(" of "), F.col("scope"), F.lit(" does not have its digest")))
+    digest = F.when(F.col("ok"), F.col("payload_digest")).otherwise(bad)
+    return read(spark, path).select("page_id", "payload_bytes", digest.alias("payload_digest"), "record_type", "refers_to")
