@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from .common import cut, drop_cut
 
 AXES = ["source", "lang", "topic"]
-TOLERANCE, MAX_PASSES = 1e-6, 50
+TOLERANCE = 1e-6
+#: Raking goes on while the largest error of a marginal falls by a hundredth at least within so many passes.
+PATIENCE = 10
 #: A marginal's target shares are proportional to its token shares to this power.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 SEED = 11
@@ -92,15 +94,28 @@ def reachable_here(goals: np.ndarray, has: np.ndarray, wanted: float) -> np.ndar
     return np.minimum(has, goals * scale)
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, passes: int = MAX_PASSES, bounded: bool = False) -> DataFrame:
+class _Progress:
+    """Whether another pass may still help."""
+
+    def __init__(self, tolerance: float):
+        self.tolerance, self.best, self.since = tolerance, float("inf"), 0
+
+    def done(self, error: float) -> bool:
+        self.since = 0 if error < 0.99 * self.best else self.since + 1
+        self.best = min(self.best, error)
+        return error <= self.tolerance or self.since >= PATIENCE
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, bounded: bool = False) -> DataFrame:
     """cells(axes..., tokens and, to go on from, rate) with `rate`, so that tokens * rate meet the targets of every axis.
 
-    A pass scales by each axis once; the largest relative error decides when to stop. A pass adds joins to
+    A pass scales by each axis once; the largest relative error decides when to stop (within the tolerance, or no longer falling: targets that no rates can meet together). A pass adds joins to
     the plan, so every pass is written to the shared folder and the one before it is deleted. With `bounded`, rates above 1
     count as 1, and a step is Newton's for the category's factor, or a lower bound of the factor where it is below 1.
     """
     now = cut(cells if "rate" in cells.columns else cells.withColumn("rate", F.lit(1.0)), "rake")
-    for _ in range(passes):
+    progress = _Progress(tolerance)
+    while True:
         step = now.withColumn("error", F.lit(0.0))
         for axis, target in targets.items():
             all_ = F.col("tokens") * F.col("rate")
@@ -121,25 +136,16 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
         now = after.drop("error")
         now._written = after._written
         worst = after.where("tokens > 0").agg(F.max("error")).first()[0]
-        if worst is None or worst <= tolerance:
+        if worst is None or progress.done(worst):
             break
     return now
 
 
-def _prepared(docs: DataFrame) -> DataFrame:
-    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), blank("source").alias("source"), blank("lang").alias("lang"), topic(F.col("text")).alias("topic"), n_tokens(F.col("text")).alias("n_tokens"))
-
-
-def _draw(doc_id: Column, seed: int) -> Column:
-    """A number in [0, 1) that depends on the id alone."""
-    return F.shiftrightunsigned(F.xxhash64(doc_id, F.lit(seed)), 11) / F.lit(float(1 << 53))
-
-
-def rake_here(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], tolerance: float = TOLERANCE, passes: int = MAX_PASSES, rate: np.ndarray | None = None, bounded: bool = False) -> np.ndarray:
+def rake_here(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], tolerance: float = TOLERANCE, rate: np.ndarray | None = None, bounded: bool = False) -> np.ndarray:
     """rake() in memory, for cells below the bound: the rates. codes: each axis' category numbers."""
     rate = np.ones(len(tokens)) if rate is None else rate
-    for _ in range(passes):
+    progress = _Progress(tolerance)
+    while True:
         worst = 0.0
         for code, target in zip(codes, targets, strict=True):
             sums = lambda x, c=code, n=len(target): np.bincount(c, x, n)
@@ -151,11 +157,22 @@ def rake_here(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndar
             newton = np.where(slack > 0, 1 + (target - has) / safe(slack), np.where(has < target, 1, 0))
             factor = np.where(has < target, newton, np.maximum(newton, target / safe(all_)))
             rate = np.clip(rate * np.where(live, factor, 1)[code], 1 / _FAR, _FAR)
-        if worst <= tolerance:
+        if progress.done(worst):
             break
     return rate
 
 
+def miss(rows: DataFrame, targets: dict[str, DataFrame]) -> float:
+    """The largest relative error of a marginal of rows(axes..., tokens, probability); targets are shares."""
+    total = rows.agg(F.sum(F.col("tokens") * F.col("probability"))).first()[0] or 0.0
+    worst = 0.0
+    for axis, target in targets.items():
+        has = rows.groupBy(F.col(axis).alias("category")).agg(F.sum(F.col("tokens") * F.col("probability")).alias("has"))
+        off = has.join(target, "category").where("target > 0").agg(F.max(F.abs(F.col("has") / (F.col("target") * F.lit(total or 1.0)) - 1))).first()[0]
+        worst = max(worst, off or 0.0)
+    return worst
+
+
 def _blank(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
@@ -212,7 +229,7 @@ def rates(rows: DataFrame, targets: dict[str, dict[str, float]] | None, local: i
 
 def calibrate(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, seed: int = SEED) -> DataFrame:
     """One row per document: cell, tokens, probability, whether it is kept, and the share of all tokens that is expected to stay."""
-    rows = _prepared(docs)
+    rows = cut(_prepared(docs), "cells-of-rows")  # texts are read once; their cells and token counts are a few bytes each
     kept = _draw(F.col("doc_id"), seed) < F.col("probability")
     return rows.join(rates(rows, targets), AXES, "left").select("doc_id", *AXES, "n_tokens", "probability", kept.alias("kept"), "kept_share")
 

@@ -53,3 +53,36 @@ def test_rare_cell_does_not_set_the_sample(spark):
     assert kept / total == pytest.approx(mixing.KEEP, rel=1e-3) == here["stray", "", "t0"].kept_share
     assert here["stray", "", "t0"].probability == pytest.approx(1)
     assert sum(n * here[s, la, t].probability for s, la, t, n in rows if s == "s0") / kept == pytest.approx(sum(n**0 for s, _, _, n in rows if s == "s0") / 60, abs=0.02)
+
+
+def test_raking_by_its_definition(spark):
+    """Probabilities are products of one factor for each category, cut at 1, whose tokens meet the targets: that is one solution only."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = mixing.calibrate(docs).collect()
+    cells, tokens = {}, {}
+    for r in rows:
+        key = (r.source, r.lang, r.topic)
+        cells[key] = r.probability
+        tokens[key] = tokens.get(key, 0) + r.n_tokens
+    total = sum(tokens.values())
+    kept = sum(n * cells[k] for k, n in tokens.items())
+    assert kept / total == pytest.approx(rows[0].kept_share, rel=1e-6) and kept / total >= mixing.KEEP - 1e-6
+    for axis, power in enumerate(mixing.TEMPER.values()):
+        has, stays, full = {}, {}, {}
+        for k, n in tokens.items():
+            has[k[axis]] = has.get(k[axis], 0) + n
+            stays[k[axis]] = stays.get(k[axis], 0) + n * cells[k]
+            full[k[axis]] = full.get(k[axis], True) and (cells[k] > 1 - 1e-9 or not n)
+        goal = {c: (n / total) ** power for c, n in has.items() if n}
+        whole = sum(goal.values())
+        open_ = [c for c in goal if not full[c]]
+        ratio = [stays[c] / (goal[c] / whole * kept) for c in open_]  # alike for all that are not exhausted
+        assert max(ratio) / min(ratio) == pytest.approx(1, abs=1e-3)
+    free = {k: p for k, p in cells.items() if 0 < p < 1 - 1e-9}
+    tried = 0
+    for (s, la, t), p in free.items():
+        for s2, l2 in {(s2, l2) for s2, l2, t2 in free if t2 == t and s2 > s and l2 != la}:
+            if (s, l2, t) in free and (s2, la, t) in free:
+                assert p * free[s2, l2, t] == pytest.approx(free[s, l2, t] * free[s2, la, t], rel=1e-6)
+                tried += 1
+    assert tried > 20
