@@ -155,14 +155,16 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED, good_rejec
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-    labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(taken), "doc_id").select("quality", "text")
+    labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(taken), "doc_id").select("doc_id", "quality", "text")
 
     def measure(batches):
         for batch in batches:
-            s = _stats_in(batch, 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(s[:, k]) for k in range(len(STATS)))], names=["quality", *STATS])
+            s = _stats_in(batch, 2)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(s[:, k]) for k in range(len(STATS)))], names=["doc_id", "quality", *STATS])
 
-    got = labelled.mapInArrow(measure, "quality int, " + ", ".join(f"{c} long" for c in STATS)).toPandas()
+    measured = labelled.mapInArrow(measure, "doc_id long, quality int, " + ", ".join(f"{c} long" for c in STATS))
+    # one text for each id, so that repeated rows do not multiply what comes to the driver
+    got = measured.groupBy("doc_id").agg(F.min(F.struct("quality", *STATS)).alias("s")).select("s.*").toPandas()
     got = got.sort_values(list(got.columns)).to_numpy().reshape(-1, 1 + len(STATS))
     quality, stats = got[:, 0], got[:, 1:]
     passed = ~base_failed(stats)

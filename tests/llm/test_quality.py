@@ -62,6 +62,21 @@ def test_whole_table_and_accuracy(spark):
     assert {r.doc_id for r in quality.clean(docs, labels).collect()} == {d for d, k in kept.items() if k}
 
 
+def test_accuracy_on_labels_held_out(spark):
+    """The forest and its threshold see the labels of even ids only; those of odd ids judge them."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    rows = {r.doc_id: r for r in quality.judge(docs, labels.where("doc_id % 2 = 0")).collect()}
+    held = {r.doc_id: r.quality for r in labels.where("doc_id % 2 = 1").collect()}
+    assert np.mean([rows[d].kept for d, q in held.items() if q == 1 and not rows[d].base_failed]) >= 0.97
+    assert np.mean([not rows[d].kept for d, q in held.items() if q == 0]) >= 0.9
+
+
+def test_repeated_ids_bring_one_row_each(spark):
+    docs = spark.createDataFrame([(i % 3, f"some words of a text {i} " * 4) for i in range(300)], "doc_id long, text string")
+    assert quality.fit(docs, spark.createDataFrame([(0, 1), (1, 1), (2, 1)], "doc_id long, quality int"))[0].size <= 3
+
+
 def test_forest_separates_what_lies_apart():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(0, 1, (500, 3)), rng.normal(8, 1, (10, 3))])
