@@ -8,7 +8,7 @@ equal windows have equal minimizers, so windows that can be equal meet in one bu
 2. Minimizers of the rest are compared: only those that occur in several documents go on. A task asks once per
    minimizer, however many of its documents hold it, so a passage of very many documents costs a bucket one entry per task.
 3. The runs of windows around shared minimizers go to the minimizer's bucket, again once per task and content. There,
-   transforms of shards of the different contents are merged by interleave refinement (`bwt`), whose blocks
+   contents that share the hash of a window go on (equal windows always do), and transforms of shards of the different contents are merged by interleave refinement (`bwt`), whose blocks
    with a common prefix of LENGTH are the repeated intervals.
 4. Marked places return to their documents.
 
@@ -33,7 +33,7 @@ from .common import bound_batches, text_bytes
 LENGTH, K = 50, 24
 SPAN = LENGTH - K + 1  # minimizer candidates in a window
 PIECE = 1 << 20  # bytes that are hashed at once; places in a piece fit into the low bits of the order
-MERGE_SYMBOLS = 1 << 20  # contents of about this many bytes are merged at once
+MERGE_SYMBOLS = 1 << 18  # contents of about this many bytes are merged at once
 _PLACE = np.uint64((1 << 24) - 1)
 _TOLD = 0xFFFF
 #: A multiplier to the powers 1, 2, 4 and 8, modulo 2 ** 64.
@@ -146,6 +146,16 @@ def _by_text(owner: np.ndarray, *values: np.ndarray):
         yield int(owner[a]), *(v[order[a:b]] for v in values)
 
 
+def _some(texts: list[bytes], most: int = 4 << 20):
+    """(first, behind last) of texts that have about `most` bytes together, which bounds what runs() holds at once."""
+    a, size = 0, 0
+    for b, t in enumerate(texts, 1):
+        size += len(t)
+        if size >= most or b == len(texts):
+            yield a, b
+            a, size = b, 0
+
+
 def _ask(parts: int):
     def run(batches):
         salt = 0
@@ -153,11 +163,14 @@ def _ask(parts: int):
             ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             texts = [_expand(t) for t in batch.column(2).to_pylist()]
             for a, b in _slices(len(texts), _TOLD):
-                key, own, _, _ = runs(texts[a:b])
-                if not len(key):
+                asked = []
+                for c, d in _some(texts[a:b]):
+                    key, own, _, _ = runs(texts[a + c : a + d])
+                    asked.append(np.unique((_short(key) << np.uint64(16)) | (own + c).astype(np.uint64)))
+                both = np.sort(np.concatenate(asked))
+                if not len(both):
                     continue
-                both = np.unique(np.rec.fromarrays([_short(key), own.astype(np.uint16)]))
-                key, own = both["f0"], both["f1"]
+                key, own = both >> np.uint64(16), (both & np.uint64(0xFFFF)).astype(np.uint16)
                 rows = []
                 doc = ids[a:b][own]
                 begins = np.concatenate(([True], key[1:] != key[:-1]))
@@ -239,10 +252,13 @@ def _send(parts: int):
             texts = [_expand(t) for t in batch.column(2).to_pylist()]
             wanted = [np.concatenate([_of(x, np.uint64) for x in blobs]) for blobs in batch.column(3).to_pylist()]
             for a, b in _slices(len(texts), _TOLD):
-                key, own, start, count = runs(texts[a:b])
-                want = np.concatenate([(w << np.uint64(16)) | np.uint64(i) for i, w in enumerate(wanted[a:b])])
-                take = np.isin((_short(key) << np.uint64(16)) | own.astype(np.uint64), want)
-                key, own, start, count = key[take], own[take], start[take], count[take]
+                kept = []
+                for c, d in _some(texts[a:b]):
+                    key, own, start, count = runs(texts[a + c : a + d])
+                    want = np.concatenate([(w << np.uint64(16)) | np.uint64(i) for i, w in enumerate(wanted[a + c : a + d])])
+                    take = np.isin((_short(key) << np.uint64(16)) | own.astype(np.uint64), want)
+                    kept.append((key[take], own[take] + c, start[take], count[take]))
+                key, own, start, count = (np.concatenate(x) for x in zip(*kept, strict=True))
                 # a task sends each content for its smallest document only; larger ones are marked here
                 least: dict[bytes, int] = {}
                 content = [texts[a + o][s : s + c + LENGTH - 1] for o, s, c in zip(own.tolist(), start.tolist(), count.tolist(), strict=True)]
@@ -265,6 +281,34 @@ def _send(parts: int):
     return run
 
 
+def sharing(texts: list[bytes]) -> np.ndarray:
+    """Whether each text may share a window with another one: by a hash of every window, which equal windows have in common."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    data = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64) + np.uint64(1)
+    h, size = {1: data}, 1
+    while 2 * size <= LENGTH:
+        h[2 * size] = h[size][:-size] * np.uint64(pow(0x9E3779B97F4A7C15, size, 1 << 64)) + h[size][size:]
+        size *= 2
+    n = max(0, len(data) - LENGTH + 1)
+    window, done = h[size][:n], size
+    while done < LENGTH:
+        part = 1 << ((LENGTH - done).bit_length() - 1)
+        window = window * np.uint64(pow(0x9E3779B97F4A7C15, part, 1 << 64)) + h[part][done : done + n]
+        done += part
+    ends = np.cumsum(sizes)
+    text = np.repeat(np.arange(len(texts)), sizes)[:n]
+    whole = np.flatnonzero(np.arange(n) + LENGTH <= ends[text])
+    window, text = window[whole], text[whole]
+    order = np.argsort(window)
+    window, text = window[order], text[order]
+    new = np.flatnonzero(np.concatenate(([True], window[1:] != window[:-1])))
+    out = np.zeros(len(texts), bool)
+    if len(new):
+        several = np.minimum.reduceat(text, new) != np.maximum.reduceat(text, new)
+        out[text[np.repeat(several, np.diff(np.concatenate((new, [len(window)]))))]] = True
+    return out
+
+
 def _judge_buckets(batches):
     """Marked windows of each document, as (first, behind last) pairs."""
     ids, tags, keys, owners, starts, content, n = [], [], [], [], [], [], 0
@@ -305,7 +349,9 @@ def _judge_buckets(batches):
         batch += members
         symbols += sum(len(texts[i]) for i in members)
         if symbols >= MERGE_SYMBOLS or k == len(several) - 1:
-            marks.update(zip(batch, repeated_in_smaller([texts[i] for i in batch], least[batch], LENGTH), strict=True))
+            batch = np.array(batch)[sharing([texts[i] for i in batch])].tolist()
+            if batch:
+                marks.update(zip(batch, repeated_in_smaller([texts[i] for i in batch], least[batch], LENGTH), strict=True))
             batch, symbols = [], 0
     out_owner, out_from, out_to = [], [], []
     for i, (w, d, o, s) in enumerate(zip(which.tolist(), doc.tolist(), owner.tolist(), start.tolist(), strict=True)):
