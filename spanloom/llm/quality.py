@@ -1,9 +1,9 @@
 """Quality rules judged by an isolation forest.
 
 Rule statistics of every whole text are computed in one pass without a shuffle. The forest is grown on
-a bounded sample of labelled documents (`MAX_LABELLED`); its anomaly threshold is calibrated on the
-same rows so that no more than `MAX_GOOD_REJECTED` of the good ones are rejected. It is grown on the good rows, with splits over the range of
-all labelled rows. The forest has a fixed size, so it is sent to the executors, which score each document beside its statistics.
+a bounded sample of labelled documents (`MAX_LABELLED`): on the good ones of two thirds, with splits over the range of
+all labelled rows. Its anomaly threshold is calibrated on the good ones of the other third, which no tree has seen, so that no more than
+`MAX_GOOD_REJECTED` of them are rejected; with fewer than LEAST_HELD of these, on all. The forest has a fixed size, so it is sent to the executors, which score each document beside its statistics.
 
 Defined cases: a null or empty text has no words, fails the base rule and is rejected. Repeated
 documents give repeated rows. Without labelled rows of good quality the forest rejects nothing.
@@ -23,6 +23,7 @@ from .common import bound_batches, text_bytes
 #: Labelled documents that the forest and its threshold may use: those with the smallest hash of doc_id.
 MAX_LABELLED = 20_000
 MAX_GOOD_REJECTED = 0.005
+LEAST_HELD = 50
 TREES, SUBSAMPLE, SEED = 100, 256, 7
 MIN_WORDS, MAX_REPEAT_PERCENT, RUN = 10, 20, 5
 
@@ -164,15 +165,17 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED, good_rejec
 
     measured = labelled.mapInArrow(measure, "doc_id long, quality int, " + ", ".join(f"{c} long" for c in STATS))
     # one text for each id, so that repeated rows do not multiply what comes to the driver
-    got = measured.groupBy("doc_id").agg(F.min(F.struct("quality", *STATS)).alias("s")).select("s.*").toPandas()
-    got = got.sort_values(list(got.columns)).to_numpy().reshape(-1, 1 + len(STATS))
-    quality, stats = got[:, 0], got[:, 1:]
+    third = (F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(3)) == 0).cast("int")
+    got = measured.groupBy("doc_id").agg(F.min(F.struct("quality", *STATS)).alias("s")).select(third.alias("held"), "s.*").toPandas()
+    got = got.sort_values(list(got.columns)).to_numpy().reshape(-1, 2 + len(STATS))
+    held, quality, stats = got[:, 0] == 1, got[:, 1], got[:, 2:]
     passed = ~base_failed(stats)
     if not (passed & (quality == 1)).any():
         return None
-    x = features(stats)
-    forest = Forest(x[passed & (quality == 1)], x[passed])
-    good = forest.score(x[passed & (quality == 1)])
+    x, good = features(stats), passed & (quality == 1)
+    apart = (good & held).sum() >= LEAST_HELD and (good & ~held).any()
+    forest = Forest(x[good & ~held] if apart else x[good], x[passed])
+    good = forest.score(x[good & held] if apart else x[good])
     return forest, float(np.quantile(good, 1 - good_rejected, method="higher"))
 
 
