@@ -15,6 +15,7 @@ COMMANDS = {
     "get-person": ([], ["person_id"]),
     "find-mentions": (["--limit"], ["person_id"]),
     "resolve-name": (["--context-chapter"], ["name"]),
+    "statistics": ([], []),
     "get-year": (["--work"], ["year"]),
     "list-years": (["--first", "--last"], []),
     "resource": ([], ["uri"]),
@@ -74,6 +75,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     except QueryError as e:
         print(json.dumps(e.envelope(), ensure_ascii=False), file=sys.stderr)
         return 2
+    except Exception as e:  # noqa: BLE001  an answer is rows or an envelope
+        print(json.dumps(QueryError("internal", f"{type(e).__name__}: {str(e)[:200]}").envelope(), ensure_ascii=False), file=sys.stderr)
+        return 3
 
 
 if __name__ == "__main__":

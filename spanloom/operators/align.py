@@ -117,3 +117,10 @@ def summary(left: DataFrame, right: DataFrame, pairs: DataFrame, group: str) ->
     n = lambda df, name: df.groupBy(group).agg(F.count(F.lit(1)).alias(name))
     out = n(left, "n_left").join(n(right, "n_right"), group, "full").join(n(pairs, "n_aligned"), group, "left").na.fill(0)
     return out.withColumn("n_left_over", F.col("n_left") - F.col("n_aligned")).withColumn("n_right_over", F.col("n_right") - F.col("n_aligned"))
+
+
+def unaligned(left: DataFrame, right: DataFrame, pairs: DataFrame, group: str, order: str) -> DataFrame:
+    """(group, side, place): paragraphs of either version that have no partner; places are those of align()."""
+    place = lambda df: df.select(group, (F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1).alias("place"))
+    rest = lambda df, name: place(df).join(pairs.select(group, F.col(f"{name}_no").alias("place")), [group, "place"], "left_anti").select(group, F.lit(name).alias("side"), "place")
+    return rest(left, "left").unionByName(rest(right, "right"))

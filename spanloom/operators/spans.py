@@ -86,6 +86,20 @@ def words_in(rows: DataFrame, text: str, words: list[str], name: str = "surface"
     return rows.mapInArrow(run, schema)
 
 
+def find_between(text: Column, pattern: str, excluded: Column) -> Column:
+    """find_all() in what lies between excluded spans (at, length): no match starts in one or crosses it, and the search goes on behind it."""
+    ordered = F.array_sort(F.transform(excluded, lambda e: F.struct(e["at"].cast("int").alias("at"), (e["at"] + e["length"]).cast("int").alias("end"))))
+    gaps = F.transform(F.concat(ordered, F.array(F.struct(F.length(text).cast("int").alias("at"), F.length(text).cast("int").alias("end")))), lambda e, i: F.struct(F.when(i > 0, F.array_max(F.transform(F.slice(ordered, 1, i), lambda x: x["end"]))).otherwise(F.lit(0)).alias("from"), e["at"].alias("to")))
+    free = F.filter(gaps, lambda g: g["to"] > g["from"])
+    inside = lambda g: F.transform(find_all(F.substring(text, g["from"] + 1, g["to"] - g["from"]), pattern), lambda m: F.struct((m["at"] + g["from"]).cast("int").alias("at"), m["length"].alias("length"), m["surface"].alias("surface")))
+    return F.flatten(F.transform(free, inside))
+
+
+def distinct_in_order(lists: Column) -> Column:
+    """The values of an array of arrays, each where it first appears."""
+    return F.array_distinct(F.flatten(lists))
+
+
 def overlap_anti(spans: DataFrame, others: DataFrame, key: str | list[str]) -> DataFrame:
     """Spans that overlap none of the others of the same key (at and end on both sides, ends exclusive)."""
     keys = [key] if isinstance(key, str) else key

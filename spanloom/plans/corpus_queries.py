@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import brackets, disambiguate, merge, persons, publish, validate
+from ..operators import align, brackets, disambiguate, merge, persons, publish, spans, validate
 from ..sources import corpus as readers
 from ..sources import html, sinks
 from . import service
@@ -397,3 +397,64 @@ def marker_notes(spark, sf_dir):
     text = F.when(F.col("turn") % 2 == 0, F.concat(word, F.lit("xx[一]"))).otherwise(F.lit("注[一]said"))
     found = brackets.marker_notes(segments(spark, sf_dir).select("doc", F.col("turn").alias("para_no"), text.alias("text")), "doc", "para_no")
     return found.select("doc", big("para_no"), big("at"))
+
+
+# Versions
+
+
+def _versions(spark, sf_dir):
+    """Every conversation, and the same without its second turn."""
+    c = segments(spark, sf_dir).select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "text")
+    return c, c.where("turn <> 1")
+
+
+@query("SELECT conv_id, turn AS left_no, CASE WHEN turn = 0 THEN 0 ELSE turn - 1 END AS right_no FROM seg WHERE turn <> 1")
+def aligned_pairs(spark, sf_dir):
+    left, right = _versions(spark, sf_dir)
+    return align.align(left, right, "conv_id", "turn").select("conv_id", big("left_no"), big("right_no"))
+
+
+@query("SELECT conv_id, 'left' AS side, 1::BIGINT AS place FROM seg WHERE turn = 1")
+def unaligned_turns(spark, sf_dir):
+    left, right = _versions(spark, sf_dir)
+    return align.unaligned(left, right, align.align(left, right, "conv_id", "turn"), "conv_id", "turn").select("conv_id", "side", big("place"))
+
+
+@query("""SELECT item_id, CASE item_id % 3 WHEN 0 THEN 'insert' WHEN 1 THEN 'replace' ELSE 'delete' END AS op, (CASE item_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 5 ELSE length(text) - 3 END)::BIGINT AS op_at,
+  CASE item_id % 3 WHEN 0 THEN 'ΩΩ' WHEN 1 THEN substr(text, 6, 1) || '>Ω' ELSE right(text, 3) END AS what FROM benchmark WHERE length(text) > 20""")
+def edit_operations(spark, sf_dir):
+    """Benchmark texts with one known change each."""
+    n, t = F.col("item_id") % 3, F.col("text")
+    new = F.when(n == 0, F.concat(F.lit("ΩΩ"), t)).when(n == 1, F.concat(F.substring(t, 1, 5), F.lit("Ω"), F.substring(t, F.lit(7), F.length(t)))).otherwise(F.substring(t, F.lit(1), F.length(t) - 3))
+    rows = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("length(text) > 20").select("item_id", F.col("text").alias("old"), new.alias("new"))
+    ops = align.edit_scripts(rows, "old", "new").select("item_id", F.explode("ops").alias("o"))
+    what = F.when(F.col("o.op") == "replace", F.concat(F.col("o.from"), F.lit(">"), F.col("o.to"))).otherwise(F.col("o.text"))
+    return ops.select("item_id", F.col("o.op").alias("op"), F.col("o.at").cast("long").alias("op_at"), what.alias("what"))
+
+
+@query("""SELECT seg_id, count(*) AS n, min(m) AS first_at FROM (
+    SELECT seg_id, unnest(list_transform(range(1, len(parts)), lambda k: (list_sum(list_transform(parts[1:k], lambda x: length(x))) + (k - 1) * 2)::BIGINT)) + off AS m FROM (
+      SELECT seg_id, string_split(piece, 'th') AS parts, off FROM (
+        SELECT seg_id, substr(text, 1, p) AS piece, 0 AS off FROM cut_ UNION ALL SELECT seg_id, substr(text, p + 11), p + 10 FROM cut_))) GROUP BY seg_id""", "cut_ AS (SELECT seg_id, text, (conv_id * 7 + turn) % 40 AS p FROM seg WHERE length(text) >= 60)")
+def names_between_dates(spark, sf_dir):
+    """Matches that neither start in ten excluded characters nor cross them."""
+    at = ((F.col("conv_id") * 7 + F.col("turn")) % 40).cast("int")
+    rows = segments(spark, sf_dir).where("length(text) >= 60").withColumn("out", F.array(F.struct(at.alias("at"), F.lit(10).alias("length"))))
+    found = rows.select("seg_id", F.inline(spans.find_between(F.col("text"), "th", F.col("out"))))
+    return found.groupBy("seg_id").agg(F.count(F.lit(1)).alias("n"), F.min("at").cast("long").alias("first_at"))
+
+
+@query("SELECT (SELECT count(*) FROM chap) AS n_chapters, (SELECT count(*) FROM seg) AS n_segments, (SELECT count(DISTINCT year_ad) FROM temporal) AS n_years, (SELECT count(*) FROM temporal) AS n_dates, (SELECT count(*) FROM ppl) AS n_people")
+def service_statistics(spark, sf_dir):
+    return corpus(spark, sf_dir).statistics()
+
+
+@query("SELECT chapter, type, id, row_number() OVER (PARTITION BY chapter, type ORDER BY anchor, \"at\", id) AS number FROM ann")
+def shown_numbers(spark, sf_dir):
+    return publish.numbered(corpus(spark, sf_dir).annotations, "chapter", ["anchor", "at", "id"]).select("chapter", "type", "id", big("number"))
+
+
+@query("SELECT band, lowest, count(*) AS n_rows FROM (SELECT CASE WHEN n_mentions >= 100 THEN '100+' WHEN n_mentions >= 50 THEN '50-99' WHEN n_mentions >= 20 THEN '20-49' WHEN n_mentions >= 10 THEN '10-19' WHEN n_mentions >= 5 THEN '5-9' WHEN n_mentions >= 1 THEN '1-4' ELSE '0' END AS band, CASE WHEN n_mentions >= 100 THEN 100 WHEN n_mentions >= 50 THEN 50 WHEN n_mentions >= 20 THEN 20 WHEN n_mentions >= 10 THEN 10 WHEN n_mentions >= 5 THEN 5 WHEN n_mentions >= 1 THEN 1 ELSE 0 END AS lowest FROM pi) GROUP BY ALL", MENTIONS, _PEOPLE)
+def people_bands(spark, sf_dir):
+    c = corpus(spark, sf_dir)
+    return publish.in_bands(publish.people_index(c.roster, publish.mentions(c.annotations, c.segments, c.chapters, c.roster)), "n_mentions")

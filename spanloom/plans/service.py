@@ -100,6 +100,38 @@ class Corpus:
         matched = F.filter(F.array(*(F.when(cond, F.lit(way)) for way, cond in ways)), lambda w: w.isNotNull())
         return self.roster.select("rank", "id", "primary_name", F.explode(matched).alias("matched_via")).orderBy("rank")
 
+    def one_person(self, name: str, context_chapter: str | None = None) -> str:
+        """The id of the one person whom a name means there."""
+        found = [r.id for r in self.resolve_name(name, context_chapter).select("id").distinct().orderBy("id").limit(11).collect()]
+        if not found:
+            raise QueryError("not_found", f"nobody is called {name}")
+        if len(found) > 1:
+            raise QueryError("ambiguous", f"{name} may be {', '.join(found[:10])}")
+        return found[0]
+
+    def statistics(self) -> DataFrame:
+        """How much there is: chapters, segments, years, dates and people, one row."""
+        dated = self.annotations.where("type = 'temporal'").agg(F.count_distinct("year_ad").alias("n_years"), F.count(F.lit(1)).alias("n_dates"))
+        one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+        return one(self.chapters, "n_chapters").crossJoin(one(self.segments, "n_segments")).crossJoin(dated).crossJoin(one(self.roster, "n_people"))  # of one row each
+
+    def cached(self) -> Corpus:
+        """The same corpus with its tables kept in memory once they are read; what fails is not kept."""
+        return Corpus(*(df.persist() for df in (self.segments, self.annotations, self.chapters, self.roster)))
+
+    def prompt(self, kind: str, **what) -> str:
+        """A prompt of PROMPTS about a chapter, a person or a year, with the text that it needs."""
+        if kind not in PROMPTS:
+            raise QueryError("invalid_input", f"no prompt {kind}")
+        if kind == "summarize_chapter":
+            rows = [(s["seg_id"], s["text"]) for r in self.get_chapter(what["chapter"], False).collect() for s in r.segments]
+        elif kind == "biography":
+            who = self.one_person(what["name"], what.get("chapter"))
+            rows = [(r.anchor, r.snippet) for r in self.find_mentions(who, exclude_bio=False, limit=MAX_LIMIT).collect()]
+        else:
+            rows = [(e["anchor"], e["snippet"]) for r in self.get_year(int(what["year"])).collect() for e in r.events]
+        return PROMPTS[kind].format(**what, text="\n".join(f"[{i}] {t}" for i, t in rows))
+
     def get_year(self, year: int, work: str | None = None) -> DataFrame:
         events = publish.timeline_events(self.annotations.where(F.col("year_ad") == year), self.segments, self._chapters(work, None))
         return publish.timeline_years(events)
@@ -124,6 +156,18 @@ class Corpus:
             raise QueryError("not_found", f"no resource {uri}") from None
 
 
+def route(address: str) -> tuple[str, dict[str, str]]:
+    """The view that an address after `#/` names, and its parameters; what is unknown is the home view."""
+    path, _, anchor = address.removeprefix("#").strip("/").partition("#")
+    parts = [p for p in path.split("/") if p]
+    views = {"chapter": ["book", "juan"], "person": ["id"], "year": ["year"]}
+    if parts and parts[0] in views and len(parts) == 1 + len(views[parts[0]]):
+        return parts[0], dict(zip(views[parts[0]], parts[1:], strict=True)) | ({"anchor": anchor} if anchor else {})
+    if len(parts) == 1 and parts[0] in ("people", "timeline", "chapters"):
+        return parts[0], {}
+    return "home", {}
+
+
 def search(rows: DataFrame, query: str, order: list[str], case_sensitive: bool = False, limit: int | None = DEFAULT_LIMIT, snippet_chars: int = 80) -> DataFrame:
     """Occurrences of a literal in rows with text: order columns, at, snippet and n_total."""
     text = F.col("text") if case_sensitive else F.lower("text")
@@ -137,7 +181,7 @@ def search(rows: DataFrame, query: str, order: list[str], case_sensitive: bool =
     return found.join(F.broadcast(total), F.lit(True), "left")  # one row
 
 
-#: Prompt templates for a language model; nothing here calls one.
+#: Prompt templates for a language model, filled by Corpus.prompt; nothing here calls one.
 PROMPTS = {
     "summarize_chapter": "Summarise chapter {chapter} from its segments and cite segment ids:\n{text}",
     "biography": "Write a short biography of {name} from these mentions and cite segment ids:\n{text}",

@@ -163,3 +163,19 @@ def test_comments_in_cells(spark):
     raw = 'a&lt;b&gt; &amp;lt; &eacute;<i>x</i><span class="inlinecomment">n&#60;o&#x3e;</span>y &#12345;'
     r = spark.createDataFrame([(raw,)], "raw string").select(html.inline_comments(F.col("raw")).alias("c")).first().c
     assert r.main == "a<b>&lt;éxy〹" and [(n["at"], n.text) for n in r.notes] == [(10, "n<o>")]
+
+
+def test_answers_and_errors(spark, folder):
+    from spanloom.plans.service import Corpus, QueryError, route
+
+    c = Corpus(*(spark.read.parquet(f"{folder}/{t}") for t in ("segments", "annotations", "chapters", "roster"))).cached()
+    assert c.one_person("太祖") == "caocao" and c.statistics().first().n_segments == 3
+    both = Corpus(c.segments, c.annotations, c.chapters, c.roster.withColumn("aliases", F.array(F.lit("某"))))
+    for name, code in (("某", "ambiguous"), ("無", "not_found"), ("", "invalid_input")):
+        with pytest.raises(QueryError) as e:
+            both.one_person(name)
+        assert e.value.code == code and e.value.envelope()["error"]["code"] == code
+    assert "[wei.1.p2] 六年" in c.prompt("summarize_chapter", chapter="wei.1")
+    with pytest.raises(QueryError):
+        c.prompt("other")
+    assert route("#/chapter/wei/1") == ("chapter", {"book": "wei", "juan": "1"}) and route("#/people") == ("people", {}) and route("#/x/y") == ("home", {})
