@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import align, brackets, disambiguate, merge, persons, publish, spans, validate
+from ..functions import text
+from ..operators import align, brackets, dates, disambiguate, merge, persons, publish, spans, validate
 from ..sources import corpus as readers
 from ..sources import html, sinks
 from . import service
@@ -378,8 +379,8 @@ _LETTERS = ("abcdefghijklmnopqrstuvwxyz", "甲乙丙丁戊己庚辛壬癸子丑
             FROM (SELECT doc, unnest(string_split_regex(text, '[，。；：、！？「」『』\\s]')) AS token FROM han) WHERE regexp_full_match(token, '[\\x{{4E00}}-\\x{{9FFF}}]{{2,3}}字[\\x{{4E00}}-\\x{{9FFF}}]{{2}}') AND len(string_split(token, '字')) = 2 GROUP BY ALL) h)
     GROUP BY name, courtesy) WHERE n_occurrences >= 2""", f"han AS (SELECT doc, translate(replace(replace(lower(text), 'nd', '字'), ' ', '，'), '{_LETTERS[0]}.,', '{_LETTERS[1]}。、') AS text FROM seg)")
 def introductions(spark, sf_dir):
-    text = F.translate(F.replace(F.replace(F.lower("text"), F.lit("nd"), F.lit("字")), F.lit(" "), F.lit("，")), _LETTERS[0] + ".,", _LETTERS[1] + "。、")
-    segs = segments(spark, sf_dir).select("doc", text.alias("text"))
+    han = F.translate(F.replace(F.replace(F.lower("text"), F.lit("nd"), F.lit("字")), F.lit(" "), F.lit("，")), _LETTERS[0] + ".,", _LETTERS[1] + "。、")
+    segs = segments(spark, sf_dir).select("doc", han.alias("text"))
     found = persons.introductions(segs, spark.createDataFrame([], "name string"), blocked=[])
     return found.select("name", "courtesy", "n_introduced", "n_occurrences", F.array_join("docs", ",").alias("docs")).where("NOT contains(name, '字') AND NOT contains(courtesy, '字')")
 
@@ -394,11 +395,74 @@ def note_style(spark, sf_dir):
 def marker_notes(spark, sf_dir):
     """Even turns hold a marker behind their text, odd ones the notes."""
     word = F.left(F.regexp_replace("text", "[^a-z]", ""), F.lit(9))
-    text = F.when(F.col("turn") % 2 == 0, F.concat(word, F.lit("xx[一]"))).otherwise(F.lit("注[一]said"))
-    found = brackets.marker_notes(segments(spark, sf_dir).select("doc", F.col("turn").alias("para_no"), text.alias("text")), "doc", "para_no")
+    said = F.when(F.col("turn") % 2 == 0, F.concat(word, F.lit("xx[一]"))).otherwise(F.lit("注[一]said"))
+    found = brackets.marker_notes(segments(spark, sf_dir).select("doc", F.col("turn").alias("para_no"), said.alias("text")), "doc", "para_no")
     return found.select("doc", big("para_no"), big("at"))
 
 
+# Dates, names and labels
+
+_ERA_LIST = [n for n, _, _, d in dates.ERAS if d == "han" and sum(m == n for m, *_ in dates.ERAS) == 1]
+_FIRST = {n: a for n, a, _, d in dates.ERAS if d == "han"}
+#: A sentence for each segment with an absolute date and a relative one, in SQL.
+STORY = f"""story AS (SELECT seg_id, doc, seg_idx, era, n, first_year, numeral, '前文。' || era || numeral || '年春三月，行。明年，又行。' AS text FROM (
+    SELECT seg_id, doc, seg_idx, [{', '.join(f"'{n}'" for n in _ERA_LIST)}][(conv_id % {len(_ERA_LIST)} + 1)::INT] AS era, [{', '.join(str(_FIRST[n]) for n in _ERA_LIST)}][(conv_id % {len(_ERA_LIST)} + 1)::INT] AS first_year, 1 + turn % 2 AS n, ['元', '二'][(1 + turn % 2)::INT] AS numeral FROM seg)
+    WHERE NOT (n = 2 AND era IN ({', '.join(f"'{n}'" for n, a, b, d in dates.ERAS if d == "han" and a == b)})))"""
+
+
+def _story(spark, sf_dir) -> DataFrame:
+    n = len(_ERA_LIST)
+    pick = lambda names, k: F.element_at(F.array(*map(F.lit, names)), k.cast("int"))
+    number = 1 + F.col("turn") % 2
+    rows = segments(spark, sf_dir).withColumn("era", pick(_ERA_LIST, F.col("conv_id") % n + 1)).withColumn("n", number)
+    short = [a for a, first, last, d in dates.ERAS if d == "han" and first == last]
+    said = F.concat(F.lit("前文。"), "era", pick(["元", "二"], number), F.lit("年春三月，行。明年，又行。"))
+    return rows.where(~((F.col("n") == 2) & F.col("era").isin(short))).select("doc", "seg_idx", "seg_id", F.lit("hhs").alias("book"), said.alias("text"))
+
+
+@query("""SELECT seg_id, 'absolute' AS kind, 3::BIGINT AS "at", (length(era) + 5)::BIGINT AS length, era || numeral || '年春三月' AS surface, n::BIGINT AS number, 3::BIGINT AS month FROM story
+  UNION ALL SELECT seg_id, 'next_year', length(era) + 11, 2, '明年', NULL, NULL FROM story""", STORY)
+def date_mentions(spark, sf_dir):
+    found = dates.mentions(_story(spark, sf_dir), dates.eras(spark), dates.book_dynasties(spark))
+    return found.select("seg_id", "kind", big("at"), big("length"), "surface", big("number"), F.col("month_ordinal").cast("long").alias("month"))
+
+
+@query("""SELECT seg_id, 'absolute' AS resolution, (first_year + n - 1)::BIGINT AS year_ad, '原文「' || era || numeral || '年春三月」直接出现年号；解析為 AD ' || (first_year + n - 1) || CASE WHEN back THEN '（回溯前事，不推進章節時間軸）' ELSE '' END AS reasoning
+    FROM (SELECT *, EXISTS (SELECT 1 FROM story b WHERE b.doc = a.doc AND b.seg_idx < a.seg_idx AND b.first_year + b.n > a.first_year + a.n - 1) AS back FROM story a)
+  UNION ALL SELECT seg_id, 'next_year', (first_year + n)::BIGINT, NULL FROM story""", STORY)
+def date_resolution(spark, sf_dir):
+    found = dates.resolve(dates.mentions(_story(spark, sf_dir), dates.eras(spark), dates.book_dynasties(spark)))
+    return found.select("seg_id", "resolution", big("year_ad"), F.when(F.col("resolution") == "absolute", F.col("reasoning")).alias("reasoning"))
+
+
+@query("""SELECT seg_id, "at", length(surface) AS length, surface, CASE surface WHEN 'that' THEN 'p1' WHEN 'thation' THEN 'p1' ELSE 'p2' END AS person_id, CASE surface WHEN 'that' THEN 'primary' WHEN 'the the' THEN 'primary' ELSE 'alias' END AS via FROM hits WHERE n > 0""",
+       """m AS (SELECT seg_id, text, regexp_extract_all(text, 'thation|the the|that|ation ') AS ms FROM seg WHERE regexp_matches(text, 'thation|the the|that|ation ')),
+  hits AS (SELECT seg_id, 0 AS n, 1 AS nxt, NULL::BIGINT AS "at", NULL::VARCHAR AS surface FROM m
+    UNION ALL SELECT h.seg_id, n + 1, (nxt - 1 + strpos(substr(m.text, nxt), ms[n + 1]) + length(ms[n + 1]))::INT, (nxt - 2 + strpos(substr(m.text, nxt), ms[n + 1]))::BIGINT, ms[n + 1] FROM hits h JOIN m ON m.seg_id = h.seg_id WHERE n < len(ms))""")
+def roster_names(spark, sf_dir):
+    none = F.create_map().cast("map<string,array<string>>")
+    who = spark.createDataFrame([(0, "p1", "that", ["thation"]), (1, "p2", "the the", ["ation ", "that"])], "rank int, id string, primary_name string, aliases array<string>").withColumn("chapter_aliases", none)
+    found = persons.named(segments(spark, sf_dir).withColumn("book", F.lit("b")), who)
+    return found.select("seg_id", big("at"), big("length"), "surface", "person_id", "via")
+
+
+@query("""SELECT id, CASE WHEN birth_ad IS NULL AND death_ad IS NULL THEN '' ELSE coalesce(birth_ad::VARCHAR, '?') || '-' || coalesce(death_ad::VARCHAR, '?') END AS lived, CASE WHEN birth_ad IS NULL THEN primary_name ELSE primary_name || ' · ' || birth_ad END AS tip,
+  CASE WHEN rank - 50 < 0 THEN (50 - rank) || ' BCE' ELSE 'AD ' || (rank - 50) END AS year, '#/chapter/' || replace(bio, '.', '/') AS route, replace(replace(primary_name, '#', '&amp;'), '&amp;', '&lt;x&gt;') AS shown FROM ppl""")
+def labels_of_people(spark, sf_dir):
+    r = roster(spark, sf_dir)
+    tip = publish.tooltip(F.col("primary_name"), F.coalesce(F.col("birth_ad").cast("string"), F.lit("")))
+    shown = publish.escaped(F.replace("primary_name", F.lit("#"), F.lit("<x>")))
+    return r.select("id", publish.date_range(F.col("birth_ad"), F.col("death_ad")).alias("lived"), tip.alias("tip"), publish.year_label(F.col("rank") - 50).alias("year"), publish.chapter_route(F.element_at("bio_chapters", 1)).alias("route"), shown.alias("shown"))
+
+
+@query("""SELECT seg_id, substr(text, 1, turn + 2) || '[' || substr(text, turn + 3, 4) || '](x)' || substr(text, turn + 7, 5) || '[' || substr(text, turn + 12, 3) || '](y)' || substr(text, turn + 15) AS linked, translate(text, 'aeo', 'xyz') = text AS plain FROM seg""")
+def linked_text(spark, sf_dir):
+    t = F.col("turn").cast("int")
+    one = lambda at, n, i: F.struct((t + at).alias("at"), F.lit(n).alias("length"), F.lit(i).alias("id"))
+    marks = F.array(one(2, 4, "x"), one(11, 3, "y"))
+    return segments(spark, sf_dir).select("seg_id", publish.linked(F.col("text"), marks).alias("linked"), text.is_canonical(F.col("text"), "aeo", "xyz").alias("plain"))
+
+
 # Versions
 
 
