@@ -112,79 +112,77 @@ def _sent(items: DataFrame, window: int, most: int):
 _HIT = np.dtype([("first", "<i8"), ("last", "<i8"), ("item", "<i8"), ("none", "?")])
 
 
-def _with_hits(docs: DataFrame, items: DataFrame, window: int, most: int) -> DataFrame:
-    """docs(doc_id, text) with `hits`, one scan of the documents for each part of the benchmark."""
+def _scanned(docs: DataFrame, items: DataFrame, window: int, most: int, finish, schema: str) -> DataFrame:
+    """finish(batch, texts, words, hits) over the documents, one scan of them for each part of the benchmark; the last scan finishes."""
     bound_batches(docs.sparkSession)
     now = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("hits", F.lit(None).cast("binary"))
-    written = None
-    for n, (key, sent) in enumerate(_sent(items, window, most)):
+    written, sent = None, _sent(items, window, most)
+    part = next(sent)
+    while part is not None:
+        further = next(sent, None)
 
-        def run(batches, key=key, sent=sent):
-            automaton = _automaton(key, sent.value)
+        def run(batches, part=part, last=further is None):
+            automaton = _automaton(part[0], part[1].value)
             for batch in batches:
-                out = []
-                for text, known in zip(text_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                    hits = [(a, b, 0 if i is None else i, i is None) for a, b, ids in _scan(automaton, normal_words(text)) for i in ids]
-                    out.append((known or b"") + np.array(hits, _HIT).tobytes())
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["doc_id", "text", "hits"])
-
-        if n:
+                texts = text_bytes(batch.column(1))
+                words = [normal_words(t) for t in texts]
+                hits = [(known or b"") + np.array([(a, b, 0 if i is None else i, i is None) for a, b, ids in _scan(automaton, w) for i in ids], _HIT).tobytes() for w, known in zip(words, batch.column(2).to_pylist(), strict=True)]
+                if last:
+                    yield finish(batch, texts, words, [np.frombuffer(h, _HIT) for h in hits])
+                else:
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hits, pa.binary())], names=["doc_id", "text", "hits"])
+
+        now = now.mapInArrow(run, schema if further is None else "doc_id long, text string, hits binary")
+        if further is not None:
             now = cut(now, "scanned")
             if written is not None:
                 drop_cut(written)
             written = now
-        now = now.mapInArrow(run, "doc_id long, text string, hits binary")
+        part = further
     return now
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = MAX_PATTERN_BYTES) -> DataFrame:
     """One row per document: words, hit words, occurring items, and whether anything was hit."""
 
-    def run(batches):
-        for batch in batches:
-            n_words, n_hit, n_items, digests = [], [], [], []
-            for text, data in zip(text_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                words, hits = normal_words(text), np.frombuffer(data or b"", _HIT)
-                covered = np.zeros(len(words) + 1, np.int64)
-                np.add.at(covered, hits["first"], 1)
-                np.add.at(covered, hits["last"], -1)
-                ids = set(hits["item"][~hits["none"]].tolist())
-                n_words.append(len(words))
-                n_hit.append(int((np.cumsum(covered) > 0).sum()) if len(hits) else 0)
-                n_items.append(len(ids))
-                digests.append(hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digests, pa.string()), pa.array([x > 0 for x in n_hit], pa.bool_())],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
-            )
-
-    return _with_hits(docs, items, window, most).mapInArrow(run, RESULT)
+    def finish(batch, texts, all_words, all_hits):
+        n_words, n_hit, n_items, digests = [], [], [], []
+        for words, hits in zip(all_words, all_hits, strict=True):
+            covered = np.zeros(len(words) + 1 if len(hits) else 0, np.int64)
+            np.add.at(covered, hits["first"], 1)
+            np.add.at(covered, hits["last"], -1)
+            ids = set(hits["item"][~hits["none"]].tolist())
+            n_words.append(len(words))
+            n_hit.append(int((np.cumsum(covered) > 0).sum()))
+            n_items.append(len(ids))
+            digests.append(hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest())
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digests, pa.string()), pa.array([x > 0 for x in n_hit], pa.bool_())],
+            names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+        )
+
+    return _scanned(docs, items, window, most, finish, RESULT)
 
 
 def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = MAX_PATTERN_BYTES) -> DataFrame:
     """One row per occurrence and item; start and end are code points of the original text."""
 
-    def run(batches):
+    def finish(batch, texts, all_words, all_hits):
         import re
 
         word = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
-        for batch in batches:
-            rows = []
-            for doc_id, text, data in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                hits = np.frombuffer(data or b"", _HIT)
-                if not len(hits):
-                    continue
-                at = [m.span() for m in word.finditer(text)]
-                points = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)  # code points up to each byte
-                for first, last, item, none in dict.fromkeys(hits.tolist()):
-                    a, b = at[first][0], at[last - 1][1]
-                    rows.append((doc_id, None if none else item, int(points[a]) - 1, int(points[b - 1]), first, last - 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], pa.int64()) for k in range(6)],
-                names=["doc_id", "item_id", "start", "end", "first_word", "last_word"],
-            )
-
-    return _with_hits(docs, items, window, most).mapInArrow(run, SPANS)
+        rows = []
+        for doc_id, text, hits in zip(batch.column(0).to_pylist(), texts, all_hits, strict=True):
+            if not len(hits):
+                continue
+            at = [m.span() for m in word.finditer(text)]
+            points = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)  # code points up to each byte
+            for first, last, item, none in dict.fromkeys(hits.tolist()):
+                a, b = at[first][0], at[last - 1][1]
+                rows.append((doc_id, None if none else item, int(points[a]) - 1, int(points[b - 1]), first, last - 1))
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(6)], names=["doc_id", "item_id", "start", "end", "first_word", "last_word"])
+
+    return _scanned(docs, items, window, most, finish, SPANS)
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = MAX_PATTERN_BYTES) -> DataFrame:
