@@ -37,7 +37,7 @@ def checked(decisions: DataFrame, segments: DataFrame, roster: DataFrame, taken:
     decisions: anchor, at, length, surface, person_id, confidence, reasoning; taken: anchor and at of the spans that exist.
     """
     full = decisions.join(segments.select(F.col("seg_id").alias("anchor"), "text"), "anchor", "left")
-    full = full.join(F.broadcast(roster.select(F.col("id").alias("person_id"), F.lit(True).alias("known"))), "person_id", "left")
+    full = full.join(roster.select(F.col("id").alias("person_id"), F.lit(True).alias("known")), "person_id", "left")
     full = full.join(taken.select("anchor", "at", F.lit(True).alias("taken")).distinct(), ["anchor", "at"], "left")
     full = full.withColumn("reason", decision_error(F.col("text"), F.coalesce("known", F.lit(False)), least))
     first = Window.partitionBy("anchor", "at", F.col("reason").isNull()).orderBy(F.desc("confidence"), "person_id")

@@ -96,7 +96,7 @@ def introductions(segments: DataFrame, known: DataFrame, least: int = 2, blocked
     rx = f"(?:^|(?<={edge}))[\\x{{4E00}}-\\x{{9FFF}}]{{2,3}}字[\\x{{4E00}}-\\x{{9FFF}}]{{2}}(?=$|{edge})"
     hits = segments.select("doc", F.explode(F.regexp_extract_all("text", F.lit(rx), 0)).alias("hit"))
     hits = hits.select("doc", F.regexp_extract("hit", "^(.+)字(..)$", 1).alias("name"), F.regexp_extract("hit", "^(.+)字(..)$", 2).alias("courtesy"))
-    hits = hits.where(~F.col("name").isin(list(blocked) or [""])).join(F.broadcast(known.select("name")), "name", "left_anti")
+    hits = hits.where(~F.col("name").isin(list(blocked) or [""])).join(known.select("name"), "name", "left_anti")
     per = hits.groupBy("doc", "name", "courtesy").agg(F.count(F.lit(1)).alias("n_introduced"))
     chapters = segments.join(per.select("doc").distinct(), "doc", "left_semi")
     seen = per.join(chapters.select("doc", "text"), "doc").groupBy("doc", "name", "courtesy", "n_introduced").agg(F.sum((F.length("text") - F.length(F.replace("text", F.col("name")))) / F.length("name")).cast("long").alias("n_in_doc"))

@@ -10,31 +10,53 @@ from pyspark.sql import functions as F
 SPAN = "array<struct<at:int,length:int,surface:string>>"
 
 
+_RUN = 64  # matches that are placed together
+
+
+def _with(value: Column, use) -> Column:
+    """use(value), where the value is computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _placed(gaps: Column, surfaces: Column) -> Column:
+    """Spans of surfaces that follow one another, each behind its gap. In runs, so that work grows in proportion to their number."""
+    empty = F.struct(F.lit(0).alias("end"), F.array().cast(SPAN).alias("out"))
+
+    def step(s: Column, m: Column) -> Column:
+        at = s["end"] + F.length(m["gap"])
+        one = F.struct(at.cast("int").alias("at"), F.length(m["surface"]).cast("int").alias("length"), m["surface"].alias("surface"))
+        return F.struct((at + F.length(m["surface"])).cast("int").alias("end"), F.array_append(s["out"], one).alias("out"))
+
+    def in_runs(all_: Column) -> Column:
+        n = F.size(all_)
+        runs = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / _RUN).cast("int")), lambda k: F.aggregate(F.slice(all_, k * _RUN + 1, F.least(F.lit(_RUN), n - k * _RUN)), empty, step))
+        return F.when(n > 0, _with(runs, moved)).otherwise(F.array().cast(SPAN))
+
+    def moved(runs: Column) -> Column:
+        start = F.struct(F.lit(0).alias("end"), F.array().cast("array<int>").alias("out"))
+        starts = F.aggregate(runs, start, lambda s, r: F.struct((s["end"] + r["end"]).cast("int").alias("end"), F.array_append(s["out"], s["end"]).alias("out")), lambda s: s["out"])
+        return F.flatten(F.transform(F.arrays_zip(runs.alias("run"), starts.alias("start")), lambda r: F.transform(r["run"]["out"], lambda m: F.struct((m["at"] + r["start"]).cast("int").alias("at"), m["length"].alias("length"), m["surface"].alias("surface")))))
+
+    return F.when(surfaces.isNotNull(), _with(F.arrays_zip(gaps.alias("gap"), surfaces.alias("surface")), in_runs))
+
+
 def find_all(text: Column, pattern: str | Column) -> Column:
     """All matches of a regular expression from left to right, as an array of (at, length, surface).
 
-    The i-th match is the first occurrence of its own string behind the match before, which holds for
-    patterns without anchors and lookaround; conditions on neighbours are filters on the result.
+    The pattern must not match the empty string; conditions on neighbours are filters on the result.
     """
-    matches = F.regexp_extract_all(text, F.lit(pattern) if isinstance(pattern, str) else pattern, 0)
-    start = F.struct(F.lit(1).alias("next"), F.array().cast(SPAN).alias("out"))
-
-    def step(state: Column, m: Column) -> Column:
-        at = F.call_function("locate", m, text, state["next"])
-        span = F.struct((at - 1).cast("int").alias("at"), F.length(m).cast("int").alias("length"), m.alias("surface"))
-        return F.struct((at + F.length(m)).cast("int").alias("next"), F.array_append(state["out"], span).alias("out"))
-
-    return F.aggregate(matches, start, step, lambda s: s["out"])
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    surfaces = F.regexp_extract_all(text, pattern, 0)
+    parts = F.split(text, pattern, -1)
+    return _placed(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), surfaces)
 
 
 def occurrences(text: Column, literal: str | Column) -> Column:
     """Places of a string's occurrences that do not overlap."""
     word = F.lit(literal) if isinstance(literal, str) else literal
     parts = F.split(text, F.concat(F.lit("\\Q"), word, F.lit("\\E")), -1)
-    sizes = F.transform(parts, lambda p: F.length(p))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
-    step = lambda s, n: F.struct((s["at"] + n + F.length(word)).alias("at"), F.array_append(s["out"], (s["at"] + n).cast("int")).alias("out"))
-    return F.aggregate(F.slice(sizes, 1, F.size(sizes) - 1), start, step, lambda s: s["out"])
+    gaps = F.slice(parts, 1, F.size(parts) - 1)
+    return F.transform(_placed(gaps, F.transform(gaps, lambda _: word)), lambda m: m["at"])
 
 
 def alternation(words: list[str]) -> str:
