@@ -38,6 +38,9 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: Tables that cut() wrote and nothing has deleted.
+_WRITTEN: set[str] = set()
+
 #: Spark's own switch: shuffle files of a finished execution go at once, not when the driver happens to collect garbage.
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -54,14 +57,26 @@ def cut(df: DataFrame, name: str) -> DataFrame:
         spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._written = path
+    _WRITTEN.add(path)
     return out
 
 
+def drop_all(spark: SparkSession) -> None:
+    """Delete all that cut() wrote in this process and is still there, once results are written."""
+    for path in list(_WRITTEN):
+        _delete(spark, path)
+
+
 def drop_cut(df: DataFrame) -> None:
-    """Delete what cut() wrote, once nothing reads it any more."""
+    """Delete what cut() wrote, once nothing reads it any more; other tables stay."""
     path = getattr(df, "_written", None)
     if path:
-        spark = df.sparkSession
+        _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
         jvm = spark._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -12,7 +12,7 @@ each step of a raking pass is a join of cells with one marginal. Both give the s
 Defined cases: null source, language or topic are categories of their own (`''` in the targets); null or
 empty texts have no tokens and take their cell's probability (0 where the cell has no tokens). A target
 category without cells is left out and the rest rescaled; a category that has cells but no target keeps its share of
-tokens. Equal ids share one draw, so copies of a row are kept or dropped together. An empty table gives
+tokens. Equal ids share one draw, so copies of a row are kept or dropped together, and so do all rows whose id is null. An empty table gives
 an empty result. Further columns are ignored (`calibrate`) or kept (`sample`).
 """
 
