@@ -421,8 +421,8 @@ def removals(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # given, so that small ones are not put together: a task holds its buckets
-    parts = 4 * tasks
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks, parts = 3 * n, 8 * n  # given, so that small ones are not put together: a task holds its buckets
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("tag", F.xxhash64("text"))
     known = own.where("doc_id IS NOT NULL")
     whole = known.select("doc_id", "tag", F.sha2("text", 256).alias("sha"))
