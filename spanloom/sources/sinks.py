@@ -51,6 +51,10 @@ def annotation_yaml(annotations: DataFrame, sources: DataFrame) -> DataFrame:
     return _yaml(["chapter", "source_id", "source_url", "retrieved", "source_sha256", "warnings", "annotations"], build, ["chapter"], rows)
 
 
+#: Fixed values of the variants format: the text that others are compared with, and the method's name.
+COMPARED_WITH, METHOD = "wikisource", "normalized_hash_diff"
+
+
 def variant_yaml(alignments: DataFrame, diffs: DataFrame) -> DataFrame:
     """(chapter, content): a file per chapter that compares a source with the text.
 
@@ -68,9 +72,9 @@ def variant_yaml(alignments: DataFrame, diffs: DataFrame) -> DataFrame:
                 entry["ops"] = [{k: v for k, v in op.items() if v is not None} for op in d["ops"]]
             segments[d["seg_id"]] = {"canonical_hash": d["canonical_hash"], "canonical_normalized_hash": d["normalized_hash"], "diffs": [entry]}
         return {
-            "chapter": r["chapter"], "canonical": "wikisource",
+            "chapter": r["chapter"], "canonical": COMPARED_WITH,
             "sources": {r["source_id"]: {"url": r["url"], "retrieved": r["retrieved"], "file_sha256": r["file_sha256"], "n_paragraphs": r["n_paragraphs"]}},
-            "alignment": {"method": "normalized_hash_diff", "n_canonical_segments": r["n_segments"], "n_aligned": r["n_aligned"], "unaligned_canonical": list(r["unaligned"] or []), "unaligned_source": {r["source_id"]: list(r["unaligned_source"] or [])}},
+            "alignment": {"method": METHOD, "n_canonical_segments": r["n_segments"], "n_aligned": r["n_aligned"], "unaligned_canonical": list(r["unaligned"] or []), "unaligned_source": {r["source_id"]: list(r["unaligned_source"] or [])}},
             "segments": segments,
         }
 
