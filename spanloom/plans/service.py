@@ -56,9 +56,9 @@ class Corpus:
             raise QueryError("not_found", f"no segment {seg_id}")
         return found
 
-    def search_text(self, query: str, work: str | None = None, book: str | None = None, case_sensitive: bool = False, limit: int = DEFAULT_LIMIT, snippet_chars: int = 80) -> DataFrame:
-        """Every occurrence of a literal string, the first `limit` of them; n_total counts all."""
-        if not query or not 1 <= limit <= MAX_LIMIT:
+    def search_text(self, query: str, work: str | None = None, book: str | None = None, case_sensitive: bool = False, limit: int | None = DEFAULT_LIMIT, snippet_chars: int = 80) -> DataFrame:
+        """Every occurrence of a literal string, the first `limit` of them, or all where it is None; n_total counts all."""
+        if not query or (limit is not None and not 1 <= limit <= MAX_LIMIT):
             raise QueryError("invalid_input", "the query is empty" if not query else f"the limit must be 1 to {MAX_LIMIT}")
         return search(self.segments.join(self._chapters(work, book), "doc"), query, ["doc", "seg_idx", "seg_id"], case_sensitive, limit, snippet_chars)
 
