@@ -517,7 +517,7 @@ def streaming_typed_counts(spark, sf_dir):
 @query("""SELECT event_id, coalesce(value < max(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS backward FROM (SELECT user_id, event_id, floor(value)::INT AS value FROM events)""")
 def streaming_clock(spark, sf_dir):
     rows = lambda s: jobs.clocks(s.select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("place"), F.floor("value").cast("int").alias("year"))).select(F.col("place").alias("event_id"), "backward")
-    return _streamed(spark, sf_dir, "clock", rows, "append")
+    return _streamed(spark, sf_dir, "clock", rows, "append", per_trigger=None)  # a table's files have no order in time
 
 
 @query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
@@ -529,11 +529,11 @@ def carried_sessions(spark, sf_dir):
     return found.select("user_id", at("start").alias("first_at"), at("end").alias("ends_at"), "n")
 
 
-def _streamed(spark: SparkSession, sf_dir: str, name: str, plan, mode: str) -> DataFrame:
+def _streamed(spark: SparkSession, sf_dir: str, name: str, plan, mode: str, per_trigger: int | None = 100) -> DataFrame:
     import uuid
 
     root = f"{jobs.shared_folder(spark)}/stream-{name}-{uuid.uuid4().hex}"
-    stream = jobs.new_files(spark, f"{sf_dir}/events.parquet*", read(spark, sf_dir, "events").schema)
+    stream = jobs.new_files(spark, f"{sf_dir}/events.parquet*", read(spark, sf_dir, "events").schema, per_trigger)
     jobs.run_once(plan(stream), f"{root}/out", f"{root}/state", mode)
     return spark.read.parquet(f"{root}/out")
 

@@ -6,14 +6,16 @@ import re
 import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def new_files(spark: SparkSession, path: str, schema: str, per_trigger: int = 100, form: str = "parquet") -> DataFrame:
-    """A stream of files that were not read before; per_trigger limits the rate."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).format(form).load(path)
+def new_files(spark: SparkSession, path: str, schema: str, per_trigger: int | None = 100, form: str = "parquet") -> DataFrame:
+    """A stream of files that were not read before; per_trigger limits the rate, None takes all files that are there as one batch."""
+    stream = spark.readStream.schema(schema).format(form)
+    return (stream if per_trigger is None else stream.option("maxFilesPerTrigger", per_trigger)).load(path)
 
 
 def run_once(stream: DataFrame, target: str, checkpoint: str, mode: str = "append", form: str = "parquet") -> None:
@@ -42,24 +44,39 @@ def typed_counts(events: DataFrame, time: str = "ts", width: str = "1 day", late
 
 
 CLOCK_OUT = "key string, place long, year int, backward boolean"
+_LEAST, _FRAME = -(2**31), 10_000  # the least year; rows of an emitted frame
 
 
 def _advance(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """Emit every row; only rows that are not behind the clock advance it."""
+    """Emit every row; only rows that are not behind the clock advance it.
+
+    A key's rows come in frames of any order, so they are sorted when all are there, as arrays of 13 bytes a row. Rows without
+    a year neither are behind nor advance; those without a place come last.
+    """
     clock = state.get[0] if state.exists else None
+    places, years, gaps = [], [], []
     for frame in frames:
-        out = []
-        for row in frame.sort_values("place").itertuples(index=False):
-            back = clock is not None and row.year < clock
-            clock = clock if back else int(row.year)
-            out.append((key[0], row.place, row.year, back))
-        yield pd.DataFrame(out, columns=["key", "place", "year", "backward"])
-    if clock is not None:
-        state.update((clock,))
+        none = frame["year"].isna().to_numpy()
+        unplaced = frame["place"].isna().to_numpy()
+        places.append(frame["place"].astype("Int64").fillna(0).to_numpy("int64"))
+        years.append(frame["year"].astype("Int64").fillna(_LEAST).to_numpy("int32"))
+        gaps.append((none | (unplaced << 1)).astype("int8"))
+    place, year, gap = (np.concatenate(parts) for parts in (places, years, gaps))
+    order = np.lexsort((place, gap >> 1))
+    place, year, gap = place[order], year[order], gap[order]
+    so_far = np.maximum.accumulate(np.concatenate([np.array([_LEAST if clock is None else clock], "int32"), year]))
+    none, before = (gap & 1).astype(bool), so_far[:-1]
+    said = lambda values, lost: pd.Series(pd.array(values, "Int64")).mask(pd.Series(lost))
+    for lo in range(0, len(place), _FRAME):
+        part = slice(lo, lo + _FRAME)
+        back = (year[part] < before[part]) & ~none[part]
+        yield pd.DataFrame({"key": [key[0]] * len(back), "place": said(place[part], gap[part] > 1), "year": said(year[part], none[part]), "backward": back})
+    if clock is not None or not none.all():
+        state.update((int(so_far[-1]),))
 
 
 def clocks(rows: DataFrame) -> DataFrame:
-    """rows (key, place, year) with `backward`, by a clock per key that is kept between batches."""
+    """rows (key, place, year) with `backward`, by a clock per key that is kept between batches; within a batch rows may come in any order, a later batch has later places."""
     return rows.groupBy("key").applyInPandasWithState(_advance, CLOCK_OUT, "year int", "append", "NoTimeout")
 
 

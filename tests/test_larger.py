@@ -34,3 +34,10 @@ def same_as_sql(spark, at, name):
 def test_more_hits_than_an_answer_holds(spark, sf, tmp_path):
     rows = "SELECT 3 * i + 2 AS conv_id, 0 AS turn, 'user' AS role, 'A station and caution and ' || i AS text FROM range(300) r(i)"
     same_as_sql(spark, copied(tmp_path, sf, conversations=[rows]), "service_search_text")
+
+
+def test_a_clock_whose_rows_come_in_any_order(spark, sf, tmp_path):
+    """More rows of a user than a frame holds, later ones in earlier files; and more files than a batch takes at first."""
+    row = "TIMESTAMP '2024-01-01' + to_seconds(i) AS ts, CASE WHEN i % 1000 = 7 THEN NULL ELSE i % 3 END::BIGINT AS user_id, 'view' AS event_type, CASE WHEN i % 11 <> 0 AND i % 1000 <> 7 THEN (hash(i) % 500 + i / 100)::DOUBLE END AS value, '' AS props"
+    parts = [f"SELECT i::BIGINT AS event_id, {row} FROM range({a}, {b}) r(i) ORDER BY i DESC" for a, b in [(40000, 80000), (0, 40000), *((80000 + k, 80001 + k) for k in range(110, 0, -1))]]
+    same_as_sql(spark, copied(tmp_path, sf, events=parts), "streaming_clock")
