@@ -2,24 +2,74 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 OPEN, CLOSE = "〈", "〉"
 _MARK = "\\[[一二三四五六七八九十百〇○]+\\]"
 _NOTE = f"注{_MARK}"
+_MOST = 1 << 18  # brackets that are judged at once, unless one text has more
+
+
+def _judged(rows: DataFrame, key: str, text: str, opening: str, closing: str, further: str, judge: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, ...]]) -> DataFrame:
+    """(key, at, step, further columns) of what `judge` takes of the brackets, of which it sees each one's row, its place in all of them and its step.
+
+    Each row is judged by itself, so nothing is shuffled or sorted; texts stay in Spark, and Python gets a number for each bracket:
+    how far it is from the last one, negative where it closes.
+    """
+    one = f"(?s)[^\\Q{opening}{closing}\\E]*[\\Q{opening}{closing}\\E]"
+    signed = lambda piece: F.length(piece) * F.when(F.right(piece, F.lit(1)) == opening, 1).otherwise(-1)
+    schema = StructType([rows.schema[key], *StructType.fromDDL(f"at int, step int{further}").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            steps, ends = pc.list_flatten(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(sizes, dtype=np.int64)
+            first = 0
+            while first < len(sizes):  # as many rows as hold _MOST brackets, or one
+                begin = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, begin + _MOST, "right")))
+                row = np.repeat(np.arange(first, last), sizes[first:last])
+                moves = steps[begin : ends[last - 1]]
+                so_far = np.cumsum(np.abs(moves))
+                starts = ends[first:last] - sizes[first:last] - begin  # where a row's brackets begin
+                at = so_far - np.repeat(np.concatenate([[0], so_far])[starts], sizes[first:last]) - 1
+                step = np.sign(moves)
+                taken, *more = judge(row, starts[row - first], step)
+                arrays = [batch.column(0).take(pa.array(row[taken])), pa.array(at[taken].astype(np.int32)), pa.array(step[taken].astype(np.int32)), *map(pa.array, more)]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+                first = last
+
+    return rows.select(key, F.transform(F.regexp_extract_all(text, F.lit(one), 0), signed).alias("_moves")).mapInArrow(run, schema)
+
+
+def _depth(start: np.ndarray, step: np.ndarray) -> np.ndarray:
+    so_far = np.cumsum(step)
+    return so_far - np.concatenate([[0], so_far])[start]
+
+
+def _lone(row: np.ndarray, start: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Which closing brackets take their row's depth to a new minimum below 0. Rows ascend."""
+    depth = _depth(start, step)
+    shift = row * (2 * len(row) + 1)  # puts every depth of a row below those of the rows before
+    least = np.minimum.accumulate(depth - shift) + shift
+    before = np.concatenate([[0], least[:-1]])
+    before[start] = 0
+    return (step < 0) & (depth < np.minimum(before, 0))
 
 
 def depths(rows: DataFrame, key: str, text: str = "text", opening: str = OPEN, closing: str = CLOSE) -> DataFrame:
-    """One row per bracket: key, at, bracket, step (+1 or -1) and depth after it."""
-    one = f"[^\\Q{opening}{closing}\\E]*[\\Q{opening}{closing}\\E]"
-    pieces = rows.select(key, F.posexplode(F.regexp_extract_all(text, F.lit(f"(?s){one}"), 0)).alias("_n", "_piece"))  # a row for each bracket
-    so_far = F.sum(F.length("_piece")).over(Window.partitionBy(key).orderBy("_n").rowsBetween(Window.unboundedPreceding, 0))
-    chars = pieces.select(key, (so_far - 1).cast("int").alias("at"), F.right("_piece", F.lit(1)).alias("bracket"))
-    step = F.when(F.col("bracket") == opening, 1).otherwise(-1)
-    w = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    return chars.withColumn("step", step).withColumn("depth", F.sum("step").over(w))
+    """One row per bracket: key, at, bracket, step (+1 or -1) and depth after it. Each row's text counts by itself."""
+    every = lambda row, start, step: (slice(None), _depth(start, step))
+    d = _judged(rows, key, text, opening, closing, ", depth long", every)
+    return d.select(key, "at", F.when(F.col("step") > 0, opening).otherwise(closing).alias("bracket"), "step", "depth")
 
 
 def orphans(rows: DataFrame, key: str, text: str = "text", opening: str = OPEN, closing: str = CLOSE) -> DataFrame:
@@ -28,14 +78,15 @@ def orphans(rows: DataFrame, key: str, text: str = "text", opening: str = OPEN,
     A closing one has none where the balance from the left falls to a new minimum below 0; an opening one where
     the balance from the right does.
     """
-    d = depths(rows, key, text, opening, closing)
-    left = Window.partitionBy(key).orderBy("at")
-    right = Window.partitionBy(key).orderBy(F.desc("at"))
-    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("back", -F.sum("step").over(right.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.withColumn("low", F.least(F.lit(0), F.coalesce(F.min("depth").over(before(left)), F.lit(0)))).withColumn("back_low", F.least(F.lit(0), F.coalesce(F.min("back").over(before(right)), F.lit(0))))
-    lone = ((F.col("step") < 0) & (F.col("depth") < F.col("low"))) | ((F.col("step") > 0) & (F.col("back") < F.col("back_low")))
-    return d.where(lone).select(key, "at", "bracket")
+
+    def judge(row: np.ndarray, start: np.ndarray, step: np.ndarray) -> tuple[np.ndarray]:
+        n = len(row)
+        ends = np.searchsorted(row, row, "right")  # from the right, rows start at their ends
+        right = _lone((row.max(initial=0) - row)[::-1], (n - ends)[::-1], -step[::-1])[::-1]
+        return (_lone(row, start, step) | right,)
+
+    d = _judged(rows, key, text, opening, closing, "", judge)
+    return d.select(key, "at", F.when(F.col("step") > 0, opening).otherwise(closing).alias("bracket"))
 
 
 def innermost_removed(text: Column, opening: str = OPEN, closing: str = CLOSE) -> Column:

@@ -41,3 +41,13 @@ def test_a_clock_whose_rows_come_in_any_order(spark, sf, tmp_path):
     row = "TIMESTAMP '2024-01-01' + to_seconds(i) AS ts, CASE WHEN i % 1000 = 7 THEN NULL ELSE i % 3 END::BIGINT AS user_id, 'view' AS event_type, CASE WHEN i % 11 <> 0 AND i % 1000 <> 7 THEN (hash(i) % 500 + i / 100)::DOUBLE END AS value, '' AS props"
     parts = [f"SELECT i::BIGINT AS event_id, {row} FROM range({a}, {b}) r(i) ORDER BY i DESC" for a, b in [(40000, 80000), (0, 40000), *((80000 + k, 80001 + k) for k in range(110, 0, -1))]]
     same_as_sql(spark, copied(tmp_path, sf, events=parts), "streaming_clock")
+
+
+def test_brackets_need_no_shuffle(spark, sf, tmp_path):
+    """Pages of all kinds, one with more brackets than are judged at once; memory of a task doesn't grow with the table."""
+    page = "CASE WHEN i % 50 = 3 THEN NULL WHEN i % 50 = 4 THEN '' WHEN i = 7 THEN repeat('<a>>', 90000) || '<' ELSE (SELECT string_agg(['<', '>', 'x', '😀'][(hash(i * 1000 + k) % 4)::INT + 1], '') FROM range(40) s(k)) END"
+    at = copied(tmp_path, sf, pages=[f"SELECT i::BIGINT AS page_id, 'u' AS url, {page} AS html FROM range(400) r(i)"])
+    for name in ("orphan_brackets", "bracket_depth"):
+        same_as_sql(spark, at, name)
+    plan = entry.queries()["orphan_brackets"](spark, at)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
